@@ -39,14 +39,18 @@ def rank_in_group(
         return df.withColumn(name, F.rank().over(window).cast("bigint"))
 
     points = F.array(*[F.lit(i / splits) for i in range(1, splits)])
-    cuts = df.agg(F.array_distinct(F.percentile_approx(by, points, 10_000))).scalar()
-    value = F.col(by)
+    quantiles = df.agg(F.array_distinct(F.percentile_approx(by, points, 10_000))).scalar()
+    value, cuts = F.col(by), F.col("_cuts")
     higher = F.size(F.filter(cuts, lambda cut: cut > value))
     on_cut = F.array_contains(cuts, value)
     interval = F.when(value.isNull(), 2 * splits).otherwise(2 * higher + on_cut.cast("int"))
     all_tied = value.isNull() | on_cut
     spread = F.when(all_tied, F.pmod(F.xxhash64(*df.columns), F.lit(splits))).otherwise(0)
-    rows = df.withColumns({"_interval": interval, "_spread": spread})
+    rows = (
+        df.withColumn("_cuts", quantiles)
+        .withColumns({"_interval": interval, "_spread": spread})
+        .drop("_cuts")
+    )
 
     before = (
         Window.partitionBy(*group)
