@@ -9,7 +9,7 @@ from pyspark.sql.types import DataType
 from advisorbook.contracts import PORTFOLIO_HISTORY, SNAPSHOT_DATE
 from advisorbook.operators.checks import require_rows
 from advisorbook.sources.snapshots import FROM_FILE, list_snapshots, read_master, read_snapshots
-from advisorbook.sources.tables import append_table, replace_partitions, replace_table
+from advisorbook.sources.tables import add_new_columns, replace_partitions, replace_table
 
 
 def rebuild_history(
@@ -53,7 +53,7 @@ def load_new_dates(
     if rows is None:
         return
     if spark.catalog.tableExists(table):
-        append_table(rows.limit(0), table, [SNAPSHOT_DATE])
+        add_new_columns(spark, table, rows.schema)
         replace_partitions(rows, table)
     else:
         replace_table(rows, table, [SNAPSHOT_DATE])

@@ -1,6 +1,7 @@
 """Catalog tables: create, replace, append with drift, keyed merge."""
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +54,17 @@ def append_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) ->
     align(df, table_schema(spark, table)).write.insertInto(table)
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for one write: ``insertInto`` takes no such option of its own."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def replace_partitions(df: DataFrame, table: str) -> None:
     """Overwrite the partitions that occur in ``df`` and leave the others.
 
@@ -63,7 +75,8 @@ def replace_partitions(df: DataFrame, table: str) -> None:
     schema = table_schema(spark, table)
     by = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     aligned = align(df, schema).hint("rebalance", *by)
-    aligned.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        aligned.write.insertInto(table, overwrite=True)
 
 
 def merge_table(

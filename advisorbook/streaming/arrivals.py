@@ -11,6 +11,9 @@ from advisorbook.contracts import PORTFOLIO_HISTORY, SNAPSHOT_DATE
 from advisorbook.functions.dates import date_from_name
 from advisorbook.plans.ingest import load_new_dates
 
+# The columns of the binaryFile source; only the path is read.
+_FILES = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
 
 def load_arrivals(
     spark: SparkSession,
@@ -27,6 +30,7 @@ def load_arrivals(
     """
     names = (
         spark.readStream.format("binaryFile")
+        .schema(_FILES)
         .option("pathGlobFilter", glob)
         .load(folder)
         .select(F.element_at(F.split("path", "/"), -1).alias("name"))
@@ -36,7 +40,8 @@ def load_arrivals(
     def load(batch: DataFrame, _: int) -> None:
         found = [r[0] for r in batch.distinct().orderBy(SNAPSHOT_DATE).collect()]
         if found:
-            load_new_dates(batch.sparkSession, folder, table, found, contract, glob)
+            # In the caller's session, so that its cached file list follows the swap.
+            load_new_dates(spark, folder, table, found, contract, glob)
 
     return (
         dates.writeStream.option("checkpointLocation", checkpoint)
