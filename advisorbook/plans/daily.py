@@ -22,6 +22,7 @@ from advisorbook.plans.staging import (
     stage_portfolio,
     stage_products,
 )
+from advisorbook.session import cut_lineage
 from advisorbook.sources.tables import create_database, merge_table, replace_table
 
 RAW_HISTORY = "raw.portfolio_histories"
@@ -61,9 +62,8 @@ def stage_views(spark: SparkSession) -> dict[str, DataFrame]:
     return staged
 
 
-def build_fact(spark: SparkSession, settings: Settings) -> None:
+def build_fact(spark: SparkSession, settings: Settings, entries: DataFrame) -> None:
     """Rebuild the fact, or recompute the months inside the lookback and merge them."""
-    entries = stage_portfolio(spark.table(RAW_HISTORY), KPI_INPUTS)
     rebuild = settings.full_refresh or not spark.catalog.tableExists(FACT)
     since = None
     if not rebuild:
@@ -100,9 +100,10 @@ def run_daily(spark: SparkSession, settings: Settings) -> dict:
     as_of = F.current_date() if settings.as_of is None else F.lit(settings.as_of)
     replace_table(dim_product(staged["stg_products"]), DIM_PRODUCT)
     replace_table(dim_customer(staged["stg_customers"], as_of), DIM_CUSTOMER)
-    entries = stage_portfolio(spark.table(RAW_HISTORY), KPI_INPUTS)
+    # Agents, fact and checks all read the newest entries: find them in the history once.
+    entries = cut_lineage(stage_portfolio(spark.table(RAW_HISTORY), KPI_INPUTS), "entries")
     replace_table(dim_agent(entries, spark.table(DIM_CUSTOMER)), DIM_AGENT)
-    build_fact(spark, settings)
+    build_fact(spark, settings, entries)
 
     report = monthly_performance(spark.table(FACT), spark.table(DIM_AGENT))
     report.createOrReplaceTempView(REPORT)

@@ -71,7 +71,7 @@ def load_master(
 
 
 def load_metrics(history: DataFrame, files: DataFrame | None = None) -> DataFrame:
-    """Rows per snapshot date; with ``files`` also the files, so a date without rows shows 0.
+    """Rows per snapshot date; with ``files`` also their number and size, and 0 for empty dates.
 
     Counting a stored table by its partition column reads file footers, not data.
     """
@@ -79,7 +79,7 @@ def load_metrics(history: DataFrame, files: DataFrame | None = None) -> DataFram
     if files is None:
         return counts
     per_date = files.groupBy(SNAPSHOT_DATE).agg(
-        F.sort_array(F.collect_list("path")).alias("paths"), F.sum("length").alias("bytes")
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
     )
     return per_date.join(counts, SNAPSHOT_DATE, "left").withColumn(
         "rows_input", F.coalesce("rows_input", F.lit(0))

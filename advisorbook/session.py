@@ -7,6 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Settings the plans are written for. All but the last two are Spark's defaults.
+SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
+    "spark.sql.session.timeZone": "UTC",
+    # Call-site capture costs one JVM round trip per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
