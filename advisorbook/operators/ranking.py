@@ -21,7 +21,12 @@ def with_previous(
 
 
 def rank_in_group(
-    df: DataFrame, group: Sequence[str], by: str, name: str, splits: int = DEFAULT_SPLITS
+    df: DataFrame,
+    group: Sequence[str],
+    by: str,
+    name: str,
+    splits: int = DEFAULT_SPLITS,
+    few_groups: bool = False,
 ) -> DataFrame:
     """``rank() over (partition by group order by by desc nulls last)`` as BIGINT.
 
@@ -32,24 +37,31 @@ def rank_in_group(
     enough to be a cut point is an interval of its own, where all rows tie; those rows are
     spread by hash. So one task ranks about 1/splits of all rows, whatever the groups are.
 
-    ``df`` is read three times; pass a written table or cut its lineage first.
+    ``few_groups`` says that the number of groups is bounded, as months are: the interval
+    sizes, at most 2 * splits rows per group, are then broadcast. ``df`` is read three times;
+    pass a written table or cut its lineage first.
     """
     if splits <= 1:
         window = Window.partitionBy(*group).orderBy(F.desc_nulls_last(by))
         return df.withColumn(name, F.rank().over(window).cast("bigint"))
 
     points = F.array(*[F.lit(i / splits) for i in range(1, splits)])
-    quantiles = df.agg(F.array_distinct(F.percentile_approx(by, points, 10_000))).scalar()
-    value, cuts = F.col(by), F.col("_cuts")
-    higher = F.size(F.filter(cuts, lambda cut: cut > value))
-    on_cut = F.array_contains(cuts, value)
-    interval = F.when(value.isNull(), 2 * splits).otherwise(2 * higher + on_cut.cast("int"))
-    all_tied = value.isNull() | on_cut
-    spread = F.when(all_tied, F.pmod(F.xxhash64(*df.columns), F.lit(splits))).otherwise(0)
+    quantiles = df.agg(F.percentile_approx(by, points, 10_000)).scalar()
+    # Number of lower cuts: where the value lands when sorted in among them. Counting up
+    # from the greatest values, an interval is even between two cuts and odd on a cut.
+    cuts = F.col("_cuts")
+    value = F.coalesce(F.col(by), F.lit(0).cast(df.schema[by].dataType))
+    lower = F.array_position(F.sort_array(F.concat(cuts, F.array(value))), value) - 1
+    place = -2 * lower - F.array_contains(cuts, value).cast("bigint")
+    # NULLs come last and tie, too.
+    interval = F.when(F.col(by).isNull(), 1).otherwise(place)
+    tied = F.col("_interval") % 2 != 0
+    spread = F.when(tied, F.pmod(F.xxhash64(*df.columns), F.lit(splits))).otherwise(0)
     rows = (
         df.withColumn("_cuts", quantiles)
-        .withColumns({"_interval": interval, "_spread": spread})
+        .withColumn("_interval", interval)
         .drop("_cuts")
+        .withColumn("_spread", spread)
     )
 
     before = (
@@ -70,7 +82,7 @@ def rank_in_group(
     for c in group:
         same = same & rows[c].eqNullSafe(F.col(f"_of_{c}"))
     inside = Window.partitionBy(*group, "_interval", "_spread").orderBy(F.desc_nulls_last(by))
-    return rows.join(offsets, same).select(
+    return rows.join(F.broadcast(offsets) if few_groups else offsets, same).select(
         *df.columns, (F.rank().over(inside) + F.col("_offset")).cast("bigint").alias(name)
     )
 

@@ -95,9 +95,13 @@ def monthly_kpis(
     buckets = products.select(
         F.col("product_id").alias("_product_id"), F.col("asset_class_bucket").alias("bucket")
     )
-    classified = totals.join(buckets, totals["product_id"] == buckets["_product_id"], "left")
-
     per_product = F.col("is_product_total") == 1
+    # Customer totals have no product. Joined on NULL they would meet in one task, so they
+    # take a spread key and the condition keeps them unmatched.
+    anywhere = F.hash("customer_id").cast(totals.schema["product_id"].dataType)
+    key = F.when(per_product, F.col("product_id")).otherwise(anywhere)
+    classified = totals.join(buckets, (key == F.col("_product_id")) & per_product, "left")
+
     # An agent without id gets no customer counts: NULL never equals NULL.
     counted = ~per_product & F.col("agent_id").isNotNull()
     bucket, aum = F.col("bucket"), F.col("aum")

@@ -39,7 +39,9 @@ def monthly_performance(
 
     ``kpis`` should be the stored fact: ranking reads it more than once.
     """
-    ranked = rank_in_group(kpis, ["month_start_date"], "total_aum", "rank_aum_in_month", splits)
+    ranked = rank_in_group(
+        kpis, ["month_start_date"], "total_aum", "rank_aum_in_month", splits, few_groups=True
+    )
     changed = with_monthly_change(ranked)
     names = agents.select(F.col("agent_id").alias("_agent_id"), "agent_name")
     named = changed.join(names, changed["agent_id"] == names["_agent_id"], "left")

@@ -152,7 +152,9 @@ def core_mom_change(spark: SparkSession, d: str) -> DataFrame:
 @query("rank_in_month")
 def rank_in_month(spark: SparkSession, d: str) -> DataFrame:
     totals = cut_lineage(kpi_plans.total_aum(_entries(spark, d)), "totals")
-    return rank_in_group(totals, ["month_start_date"], "total_aum", "rank_aum_in_month")
+    return rank_in_group(
+        totals, ["month_start_date"], "total_aum", "rank_aum_in_month", few_groups=True
+    )
 
 
 @query("month_end_positions")
