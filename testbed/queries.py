@@ -71,9 +71,16 @@ def _kpis(spark: SparkSession, d: str, threshold: int = tb.THRESHOLD) -> DataFra
     return kpi_plans.monthly_kpis(_entries(spark, d), _products(spark, d), threshold)
 
 
-def _agents(spark: SparkSession, d: str) -> DataFrame:
+def _agents(spark: SparkSession, d: str, entries: DataFrame) -> DataFrame:
     names = dim_customer(stage_customers(tb.customers(spark, d)), _date(tb.AS_OF))
-    return dim_agent(_entries(spark, d), names)
+    return dim_agent(entries, names)
+
+
+def _fact_and_agents(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The stored fact and the agents, both built from entries found once."""
+    entries = cut_lineage(_entries(spark, d), "entries")
+    facts = kpi_plans.monthly_kpis(entries, _products(spark, d), tb.THRESHOLD)
+    return cut_lineage(facts, "kpis"), _agents(spark, d, entries)
 
 
 def _date(text: str) -> Column:
@@ -94,12 +101,12 @@ def agent_monthly_kpis(spark: SparkSession, d: str) -> DataFrame:
 
 @query("agent_monthly_performance")
 def agent_monthly_performance(spark: SparkSession, d: str) -> DataFrame:
-    return monthly_performance(cut_lineage(_kpis(spark, d), "kpis"), _agents(spark, d))
+    return monthly_performance(*_fact_and_agents(spark, d))
 
 
 @query("top_agents_latest_month")
 def top_agents(spark: SparkSession, d: str) -> DataFrame:
-    return top_agents_latest_month(cut_lineage(_kpis(spark, d), "kpis"), _agents(spark, d))
+    return top_agents_latest_month(*_fact_and_agents(spark, d))
 
 
 @query("total_aum")
@@ -262,7 +269,7 @@ def product_dimension(spark: SparkSession, d: str) -> DataFrame:
 
 @query("dim_agent")
 def agent_dimension(spark: SparkSession, d: str) -> DataFrame:
-    return _agents(spark, d)
+    return _agents(spark, d, _entries(spark, d))
 
 
 @query("agent_activity")

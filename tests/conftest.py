@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from advisorbook.session import SETTINGS  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -14,8 +16,9 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[4]")
         .appName("advisorbook-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config(map=SETTINGS)
+        .config("spark.sql.shuffle.partitions", "3")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.warehouse.dir", str(work / "warehouse"))
         .config("spark.checkpoint.dir", str(work / "shared"))
         .config("spark.driver.memory", "4g")
