@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from advisorbook import fixed_values as fv
+from advisorbook.contracts import KPI_KEYS
 
 ERROR = "error"
 WARN = "warn"
@@ -116,19 +117,13 @@ def core_counts_reconcile(
     without core customers. ``missing=0`` reads that as zero. ``missing=-1`` takes it
     literally and reports every such month.
     """
-    e, a = expected.alias("e"), kpis.alias("a")
-    same = (F.col("e.agent_id") == F.col("a.agent_id")) & (
-        F.col("e.month_start_date") == F.col("a.month_start_date")
+    stored = kpis.select(*KPI_KEYS, "core_customer_count")
+    both = expected.join(stored, list(KPI_KEYS), "full_outer").select(
+        *KPI_KEYS, "expected_core_count", "core_customer_count"
     )
-    rows = e.join(a, same, "full_outer").select(
-        F.coalesce("e.agent_id", "a.agent_id").alias("agent_id"),
-        F.coalesce("e.month_start_date", "a.month_start_date").alias("month_start_date"),
-        F.col("e.expected_core_count"),
-        F.col("a.core_customer_count"),
-    )
-    nothing = F.lit(missing)
-    return rows.filter(
-        F.coalesce("expected_core_count", nothing) != F.coalesce("core_customer_count", nothing)
+    return both.filter(
+        F.coalesce("expected_core_count", F.lit(missing))
+        != F.coalesce("core_customer_count", F.lit(missing))
     )
 
 

@@ -13,15 +13,18 @@ def rerun_drift(
     before: DataFrame, after: DataFrame, stamp: str, keys: Sequence[str] = KPI_KEYS
 ) -> DataFrame:
     """One row: keys in both versions, changed load stamps (allowed), changed totals (not)."""
-    b, a = before.alias("b"), after.alias("a")
-    same = F.lit(True)
-    for key in keys:
-        same = same & (F.col(f"b.{key}") == F.col(f"a.{key}"))
+    old = before.select(
+        *keys, F.col("total_aum").alias("old_total"), F.col(stamp).alias("old_stamp")
+    )
+    new = after.select(
+        *keys, F.col("total_aum").alias("new_total"), F.col(stamp).alias("new_stamp")
+    )
+    # A total gained or lost counts as changed.
     none = F.lit(float(fv.MISSING_COUNT))
-    moved = F.coalesce("a.total_aum", none) != F.coalesce("b.total_aum", none)
-    return b.join(a, same).agg(
+    moved = F.coalesce("new_total", none) != F.coalesce("old_total", none)
+    return old.join(new, list(keys)).agg(
         F.count(F.lit(1)).alias("rows_after"),
-        F.count_if(F.col(f"b.{stamp}") != F.col(f"a.{stamp}")).alias("rows_with_changed_ts"),
+        F.count_if(F.col("new_stamp") != F.col("old_stamp")).alias("rows_with_changed_ts"),
         F.count_if(moved).alias("aum_drift_rows"),
     )
 

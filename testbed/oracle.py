@@ -174,23 +174,18 @@ expected as (
 
 def core_mismatch(missing: int) -> str:
     return f"""
-select coalesce(e.agent_id, a.agent_id) as agent_id,
-  coalesce(e.month_start_date, a.month_start_date) as month_start_date,
-  expected_core_count, core_customer_count
-from expected as e full outer join kpi as a
-  on a.agent_id = e.agent_id and a.month_start_date = e.month_start_date
+select agent_id, month_start_date, expected_core_count, core_customer_count
+from expected full outer join kpi using (agent_id, month_start_date)
 where coalesce(expected_core_count, {missing}) <> coalesce(core_customer_count, {missing})"""
 
 
 def allocation(source: str = "kpi") -> str:
     return f"""
-select * from (
-  select agent_id, month_start_date, total_aum, aum_equity_campuran, aum_fixed_income,
-    aum_unknown_class,
-    coalesce(aum_equity_campuran, 0) + coalesce(aum_fixed_income, 0)
-      + coalesce(aum_unknown_class, 0) as bucket_sum
-  from {source}) as summed
-where abs(bucket_sum - total_aum) > 1 or aum_unknown_class > 0"""
+select agent_id, month_start_date, total_aum, aum_equity_campuran, aum_fixed_income,
+  aum_unknown_class, aum_equity_campuran + aum_fixed_income + aum_unknown_class as bucket_sum
+from {source}
+where aum_unknown_class > 0
+  or abs(aum_equity_campuran + aum_fixed_income + aum_unknown_class - total_aum) > 1"""
 
 
 def _with(ctes: tuple[str, ...], select: str) -> str:
