@@ -25,7 +25,7 @@ def rebuild_history(
     Each task writes straight into the partition of its file's date: no shuffle.
     """
     files = list_snapshots(spark, folder, glob, date_from)
-    rows = read_snapshots(spark, files, contract, date_from)
+    rows = read_snapshots(spark, files, contract)
     if rows is None:
         raise ValueError(f"No snapshot rows in {folder}")
     replace_table(rows, table, [SNAPSHOT_DATE])
@@ -49,7 +49,7 @@ def load_new_dates(
     """
     files = list_snapshots(spark, folder, glob, date_from)
     chosen = files.filter(F.col(SNAPSHOT_DATE).isin(list(dates)))
-    rows = read_snapshots(spark, chosen, contract, date_from)
+    rows = read_snapshots(spark, chosen, contract)
     if rows is None:
         return
     if spark.catalog.tableExists(table):

@@ -47,7 +47,7 @@ def list_snapshots(
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
     if date_from == FROM_FOLDER:
         reader = reader.option("recursiveFileLookup", True)
-    files = reader.load(folder).select("path", "length")
+    files = reader.load(folder).select("path", "length", F.col("_metadata.file_path").alias("uri"))
     return files.withColumn(SNAPSHOT_DATE, _snapshot_date(F.col("path"), date_from))
 
 
@@ -150,16 +150,20 @@ def read_snapshots(
     spark: SparkSession,
     files: DataFrame,
     contract: Mapping[str, DataType],
-    date_from: str = FROM_FILE,
     multi_line: bool = False,
 ) -> DataFrame | None:
     """All rows of the listed snapshot files, with snapshot date and ingestion time.
 
     Files are grouped by header and each group is one scan. A column some files lack is
     NULL for their rows. A group without rows is skipped, its new columns too. Returns None
-    when no file has rows. The driver sees file names and header lines, never rows.
+    when no file has rows. The driver sees file names and header lines, never rows. Dates are
+    parsed once per file and reach the rows by a broadcast of the file list the driver holds.
     """
-    paths = [r["path"] for r in files.orderBy(SNAPSHOT_DATE, "path").select("path").collect()]
+    listed = files.select("path", "uri", SNAPSHOT_DATE).orderBy(SNAPSHOT_DATE, "path").collect()
+    paths = [r["path"] for r in listed]
+    dates = spark.createDataFrame(
+        [(r["uri"], r[SNAPSHOT_DATE]) for r in listed], f"_uri STRING, {SNAPSHOT_DATE} DATE"
+    )
     with ThreadPoolExecutor(_HEADER_READERS) as pool:
         headers = list(pool.map(lambda p: read_header(spark, p), paths))
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
@@ -174,12 +178,14 @@ def read_snapshots(
         if drifted and text.isEmpty():
             log.warning("No rows in %s; skipped", members)
             continue
-        typed_rows = _with_types(text, names, contract)
-        day = _snapshot_date(F.url_decode(F.col("_path")), date_from)
+        rows = _with_types(text, names, contract)
+        dated = rows.join(F.broadcast(dates), F.col("_path") == F.col("_uri"), "left")
+        unlisted = F.raise_error(F.concat(F.lit("File is not in the list: "), F.col("_path")))
+        day = F.coalesce(SNAPSHOT_DATE, unlisted)
         frames.append(
-            typed_rows.withColumn(SNAPSHOT_DATE, day)
+            dated.withColumn(SNAPSHOT_DATE, day)
             .withColumn(INGESTED_AT, F.col(SNAPSHOT_DATE).cast("timestamp_ntz"))
-            .drop("_path")
+            .drop("_path", "_uri")
         )
     return union_with_drift(frames) if frames else None
 

@@ -149,7 +149,7 @@ def test_snapshot_as_folder_of_part_files(spark, tmp_path):
     write(tmp_path, "snapshot=2026-01-10/part-00001.csv", "id\n2\n")
     write(tmp_path, "snapshot=2026-01-26/part-00000.csv", "id\n1\n")
     files = list_snapshots(spark, str(tmp_path), date_from=FROM_FOLDER)
-    got = read_snapshots(spark, files, CONTRACT, date_from=FROM_FOLDER)
+    got = read_snapshots(spark, files, CONTRACT)
     assert rows_of(got, "id", "snapshot_date") == [
         (1, day("2026-01-10")),
         (1, day("2026-01-26")),
