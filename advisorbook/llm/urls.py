@@ -140,7 +140,7 @@ def build_cascade(listed: Sequence[str], universe: DataFrame, most_bits: int = M
     listed = sorted(set(listed))
     if not listed:
         return Cascade(())
-    inside = spark.createDataFrame([(k,) for k in listed], "key string").coalesce(1)
+    inside = spark.range(1).select(F.explode(F.lit(listed)).alias("key"))
     outside = universe.filter(~F.col("key").isin(listed)) if len(listed) <= 1000 else universe.join(inside, "key", "left_anti")
     n_outside = outside.count()
     levels: list[Level] = []
@@ -192,7 +192,8 @@ def judge(pages: DataFrame, rules: Sequence[UrlRule] = RULES, page: str = "page_
 def _judge_by_join(rows: DataFrame, keys: Column, rules: Sequence[UrlRule], default: str) -> DataFrame:
     """The same for lists whose filters would be too large for literals: distinct URLs meet the rules in a join."""
     spark = rows.sparkSession
-    listed = spark.createDataFrame([(r.key, r.verdict) for r in rules], "key string, verdict string")
+    pairs = F.arrays_zip(F.lit([r.key for r in rules]).alias("key"), F.lit([r.verdict for r in rules]).alias("verdict"))
+    listed = spark.range(1).select(F.inline(pairs))
     urls = rows.select("host", "path").distinct()
     fits = urls.select("host", "path", F.posexplode(keys).alias("order", "key")).join(listed, "key")
     best = fits.groupBy("host", "path").agg(F.min(F.struct("order", "key", "verdict")).alias("best"))
