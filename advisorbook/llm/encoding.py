@@ -16,10 +16,13 @@ import pyarrow.compute as pc
 
 from advisorbook.llm.common import worker_cache
 
-KEPT_PIECES = 400_000
+KEPT_PIECES = 300_000
 KEPT_LENGTH = 40
 _TWO_SPACES = re.compile(r"^\s|\s\s")
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
+# Punctuation that is no part of a contraction or of a special token.
+_TAIL = ".,!?;:%$&*#"
+_TOGETHER = 500
 _SENTENCE_END = pa.array([".", "!", "?"])
 
 
@@ -30,7 +33,7 @@ def public_vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def batches_of_text(batches: Iterable[pa.RecordBatch], at: int = 1, chars: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def batches_of_text(batches: Iterable[pa.RecordBatch], at: int = 1, chars: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of some ``chars`` bytes of text, so that what is made of one stays small."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
@@ -55,6 +58,11 @@ class Encoder:
         self.library, self.byte_level = Tokenizer.from_file(path), byte_level
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
+        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        self.marks = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, k in vocabulary.items():
+            self.marks[k] = token.startswith("Ġ") if byte_level else token.endswith("</w>")
 
     @classmethod
     def of(cls, path: str, byte_level: bool) -> "Encoder":
@@ -71,19 +79,69 @@ class Encoder:
             for e in self.library.encode_batch_fast(pieces[start : start + 10_000], add_special_tokens=False):
                 yield array("I", e.ids).tobytes()
 
+    def _encode_words(self, words: list[str]) -> Iterator[bytes]:
+        """Packed ids of words of letters, many in one call: the vocabulary marks where a word starts or ends."""
+        for start in range(0, len(words), _TOGETHER):
+            some = words[start : start + _TOGETHER]
+            text = " ".join(some)
+            text = " " + text if self.byte_level else text
+            ids = np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
+            marks = np.flatnonzero(self.marks[ids])
+            if len(marks) != len(some):  # a letter that the tokenizer takes apart
+                yield from self._encode(some)
+                continue
+            cuts = np.r_[marks, len(ids)] if self.byte_level else np.r_[0, marks + 1]
+            packed, at = ids.tobytes(), (4 * cuts).tolist()
+            for a, b in zip(at[:-1], at[1:], strict=True):
+                yield packed[a:b]
+
+    def _tail(self, tail: str) -> bytes:
+        """Packed ids of punctuation that follows a word."""
+        if tail not in self.tails:
+            if len(self.tails) > 10_000:
+                self.tails.clear()
+            self.tails[tail] = array("I", self.library.encode(tail, add_special_tokens=False).ids).tobytes()
+        return self.tails[tail]
+
+    def _learn(self, pieces: list[str]) -> list[bytes]:
+        """The packed ids of new pieces. A word and the punctuation behind it are encoded apart, as the tokenizer does."""
+        words: dict[str, bytes] = {}
+        parts, rest = [], []
+        for piece in pieces:
+            tail = ""
+            word = piece
+            if not piece.isalpha():
+                word = piece.rstrip(_TAIL)
+                tail = piece[len(word) :]
+            if not word.isalpha() or len(word) > KEPT_LENGTH:
+                rest.append(piece)
+                parts.append(None)
+                continue
+            if not self.byte_level and word.isascii():
+                word = word.lower()
+            words[word] = b""
+            parts.append((word, tail))
+        for word, ids in zip(list(words), self._encode_words(list(words)), strict=True):
+            words[word] = ids
+        others = self._encode(rest)
+        return [
+            next(others) if part is None else words[part[0]] + (self._tail(part[1]) if part[1] else b"") for part in parts
+        ]
+
     def _packed(self, pieces: list[str]) -> list[bytes]:
         """The packed ids of distinct pieces. Pieces not met for long are forgotten."""
         young, old = self.young, self.old
         found = list(map(young.get, pieces))
-        missing = [k for k, ids in enumerate(found) if ids is None]
         new = []
-        for k in missing:
-            ids = old.get(pieces[k])
+        for k, ids in enumerate(found):
             if ids is None:
-                new.append(k)
-            else:
-                found[k] = young[pieces[k]] = ids
-        for k, ids in zip(new, self._encode([pieces[k] for k in new]), strict=True):
+                piece = pieces[k]
+                ids = old.get(piece)
+                if ids is None:
+                    new.append(k)
+                else:
+                    found[k] = young[piece] = ids
+        for k, ids in zip(new, self._learn([pieces[k] for k in new]), strict=True):
             found[k] = ids
             if len(pieces[k]) <= KEPT_LENGTH:
                 young[pieces[k]] = ids
@@ -95,7 +153,7 @@ class Encoder:
         """Ids of all pieces, where each list and each piece ends among them, and which pieces close a sentence."""
         pieces = lists.flatten().dictionary_encode()
         which = pieces.indices.to_numpy()
-        packed = self._packed(pieces.dictionary.to_pylist())
+        packed = self._packed(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
         sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
         values = np.frombuffer(b"".join(packed), "<u4")
         size = sizes[which]
