@@ -1,14 +1,14 @@
 """Token ids of whole texts by a vocabulary file of the ``tokenizers`` library.
 
 A text is cut only where its tokenizer cuts too. The pieces of a batch are numbered by their
-strings, each string is encoded once, and the ids are gathered by number; pieces met before
-are kept in the worker. The ids equal those of the whole text.
+strings, each distinct word is encoded once, and the ids are gathered by number. The ids equal
+those of the whole text.
 """
 
 import os
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,13 +16,13 @@ import pyarrow.compute as pc
 
 from advisorbook.llm.common import worker_cache
 
-KEPT_PIECES = 300_000
+KEPT_PIECES = 50_000
 KEPT_LENGTH = 40
 _TWO_SPACES = re.compile(r"^\s|\s\s")
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 # Punctuation that is no part of a contraction or of a special token.
 _TAIL = ".,!?;:%$&*#"
-_TOGETHER = 500
+_TOGETHER = 1000
 _SENTENCE_END = pa.array([".", "!", "?"])
 
 
@@ -33,7 +33,7 @@ def public_vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def batches_of_text(batches: Iterable[pa.RecordBatch], at: int = 1, chars: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def batches_of_text(batches: Iterable[pa.RecordBatch], at: int = 1, chars: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of some ``chars`` bytes of text, so that what is made of one stays small."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
@@ -56,9 +56,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library, self.byte_level = Tokenizer.from_file(path), byte_level
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
+        self.others: dict[str, bytes] = {}
         vocabulary = self.library.get_vocab(with_added_tokens=True)
         self.marks = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, k in vocabulary.items():
@@ -79,87 +78,77 @@ class Encoder:
             for e in self.library.encode_batch_fast(pieces[start : start + 10_000], add_special_tokens=False):
                 yield array("I", e.ids).tobytes()
 
-    def _encode_words(self, words: list[str]) -> Iterator[bytes]:
-        """Packed ids of words of letters, many in one call: the vocabulary marks where a word starts or ends."""
-        for start in range(0, len(words), _TOGETHER):
-            some = words[start : start + _TOGETHER]
-            text = " ".join(some)
-            text = " " + text if self.byte_level else text
-            ids = np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
-            marks = np.flatnonzero(self.marks[ids])
-            if len(marks) != len(some):  # a letter that the tokenizer takes apart
-                yield from self._encode(some)
-                continue
-            cuts = np.r_[marks, len(ids)] if self.byte_level else np.r_[0, marks + 1]
-            packed, at = ids.tobytes(), (4 * cuts).tolist()
-            for a, b in zip(at[:-1], at[1:], strict=True):
-                yield packed[a:b]
-
-    def _tail(self, tail: str) -> bytes:
-        """Packed ids of punctuation that follows a word."""
-        if tail not in self.tails:
-            if len(self.tails) > 10_000:
-                self.tails.clear()
-            self.tails[tail] = array("I", self.library.encode(tail, add_special_tokens=False).ids).tobytes()
-        return self.tails[tail]
-
-    def _learn(self, pieces: list[str]) -> list[bytes]:
-        """The packed ids of new pieces. A word and the punctuation behind it are encoded apart, as the tokenizer does."""
-        words: dict[str, bytes] = {}
-        parts, rest = [], []
-        for piece in pieces:
-            tail = ""
-            word = piece
-            if not piece.isalpha():
-                word = piece.rstrip(_TAIL)
-                tail = piece[len(word) :]
-            if not word.isalpha() or len(word) > KEPT_LENGTH:
-                rest.append(piece)
-                parts.append(None)
-                continue
-            if not self.byte_level and word.isascii():
-                word = word.lower()
-            words[word] = b""
-            parts.append((word, tail))
-        for word, ids in zip(list(words), self._encode_words(list(words)), strict=True):
-            words[word] = ids
-        others = self._encode(rest)
-        return [
-            next(others) if part is None else words[part[0]] + (self._tail(part[1]) if part[1] else b"") for part in parts
-        ]
-
-    def _packed(self, pieces: list[str]) -> list[bytes]:
-        """The packed ids of distinct pieces. Pieces not met for long are forgotten."""
-        young, old = self.young, self.old
-        found = list(map(young.get, pieces))
-        new = []
-        for k, ids in enumerate(found):
-            if ids is None:
-                piece = pieces[k]
-                ids = old.get(piece)
-                if ids is None:
-                    new.append(k)
-                else:
-                    found[k] = young[piece] = ids
-        for k, ids in zip(new, self._learn([pieces[k] for k in new]), strict=True):
-            found[k] = ids
-            if len(pieces[k]) <= KEPT_LENGTH:
-                young[pieces[k]] = ids
-        if len(young) > KEPT_PIECES:
-            self.young, self.old = {}, young
-        return found
+    def _encode_words(self, words: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids and sizes of words of letters, many in one call: the vocabulary marks where a word starts or ends."""
+        ids, sizes = [], []
+        chunks = [words[k : k + _TOGETHER] for k in range(0, len(words), _TOGETHER)]
+        space = " " if self.byte_level else ""
+        found = self.library.encode_batch_fast([space + " ".join(c) for c in chunks], add_special_tokens=False)
+        for chunk, e in zip(chunks, found, strict=True):
+            made = np.array(e.ids, "<u4")
+            marks = np.flatnonzero(self.marks[made])
+            if len(marks) == len(chunk):
+                size = np.diff(marks, append=len(made)) if self.byte_level else np.diff(marks, prepend=-1)
+            else:  # a letter that the tokenizer takes apart
+                packed = list(self._encode(chunk))
+                made = np.frombuffer(b"".join(packed), "<u4")
+                size = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+            ids.append(made)
+            sizes.append(size)
+        return ids, sizes
+
+    def _kept(self, cache: dict[str, bytes], pieces: list[str], encode: Callable) -> list[bytes]:
+        """Packed ids of pieces that are no words; those met before come from a bounded cache."""
+        if len(cache) > KEPT_PIECES:
+            cache.clear()
+        new = [piece for piece in dict.fromkeys(pieces) if piece not in cache]
+        fresh = dict(zip(new, encode(new), strict=True))
+        cache.update((piece, ids) for piece, ids in fresh.items() if len(piece) <= KEPT_LENGTH)
+        return [cache[piece] if piece in cache else fresh[piece] for piece in pieces]
+
+    def _bare(self, pieces: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(pieces, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _parts(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """A table of ids (values, sizes) and, of each distinct piece, its two entries there.
+
+        A piece of letters and punctuation behind them is a word and a tail, which the
+        tokenizer takes apart too; any other piece is one entry. Entry 0 is empty.
+        """
+        word = pc.utf8_rtrim(pieces, characters=_TAIL)
+        plain = pc.utf8_is_alpha(word)
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        words = word.filter(plain)
+        words = (words if self.byte_level else pc.ascii_lower(words)).dictionary_encode()
+        ids, sizes = self._encode_words(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        first, second = np.zeros(len(pieces), np.int32), np.zeros(len(pieces), np.int32)
+        first[is_plain] = words.indices.to_numpy() + 1
+        n = len(words.dictionary) + 1
+        tailed = np.flatnonzero(is_plain & (pc.binary_length(pieces).to_numpy() > pc.binary_length(word).to_numpy()))
+        whole = pieces.take(pa.array(tailed)).to_numpy(zero_copy_only=False).tolist()
+        heads = word.take(pa.array(tailed)).to_numpy(zero_copy_only=False).tolist()
+        tails = pa.array([p[len(h) :] for p, h in zip(whole, heads, strict=True)], pa.string()).dictionary_encode()
+        second[tailed] = tails.indices.to_numpy() + n
+        packed = self._kept(self.tails, tails.dictionary.to_pylist(), self._bare)
+        others = np.flatnonzero(~is_plain)
+        first[others] = n + len(packed) + np.arange(len(others))
+        rest = pieces.take(pa.array(others)).to_numpy(zero_copy_only=False).tolist()
+        packed += self._kept(self.others, rest, lambda new: list(self._encode(new)))
+        sizes = np.concatenate([[0], *sizes, np.fromiter(map(len, packed), np.int64, len(packed)) // 4])
+        return np.concatenate([*ids, np.frombuffer(b"".join(packed), "<u4")]), sizes, first, second
 
     def _gather(self, lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all pieces, where each list and each piece ends among them, and which pieces close a sentence."""
         pieces = lists.flatten().dictionary_encode()
         which = pieces.indices.to_numpy()
-        packed = self._packed(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
-        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
-        values = np.frombuffer(b"".join(packed), "<u4")
-        size = sizes[which]
-        ends = np.cumsum(size)
-        shift = (np.cumsum(sizes) - sizes)[which] - (ends - size)
-        ids = values[np.repeat(shift, size) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        values, sizes, first, second = self._parts(pieces.dictionary)
+        entries = np.stack([first[which], second[which]], 1).ravel()
+        size = sizes.astype(np.int32)[entries]
+        ends = np.cumsum(size, dtype=np.int64)
+        shift = ((np.cumsum(sizes) - sizes)[entries] - (ends - size)).astype(np.int32)
+        ids = values[np.repeat(shift, size) + np.arange(int(ends[-1]) if len(ends) else 0, dtype=np.int32)]
+        ends = ends[1::2]
         last = pc.utf8_slice_codeunits(pieces.dictionary, -1)
         closing = pc.is_in(last, _SENTENCE_END).to_numpy(zero_copy_only=False)[which]
         newline = pc.starts_with(pieces.dictionary, "\n").to_numpy(zero_copy_only=False)[which]
@@ -207,7 +196,7 @@ class Encoder:
         first, *rest = _SAFE_CUT.split(text)
         head = np.array(self.library.encode(first, add_special_tokens=False).ids, "<u4")
         words = sorted({piece[1:] for piece in rest})
-        known = dict(zip(words, self._packed(words), strict=True))
+        known = dict(zip(words, self._kept(self.others, words, lambda new: list(self._encode(new))), strict=True))
         packed = [head.tobytes(), *(known[piece[1:]] for piece in rest)]
         ends = np.cumsum(np.fromiter(map(len, packed), np.int64, len(packed))) // 4
         closing = np.array([piece.rstrip().endswith((".", "!", "?")) for piece in (first, *rest)])
