@@ -48,7 +48,7 @@ from advisorbook.session import cut_lineage, work_path
 DEPTH = 100
 GRAMS = (20, 80, 96, 100)
 _LAST = 2**63 - 1
-_SLICE = 2 << 20
+_SLICE = 1 << 18
 
 
 def _sliding(op: np.ufunc, values: np.ndarray, width: int) -> np.ndarray:
@@ -87,48 +87,61 @@ class Runs:
 
 
 class Suffixes:
-    """The suffixes of at least ``DEPTH`` bytes of some documents."""
-
-    def __init__(self, bodies: list[bytes]) -> None:
-        self.bytes = np.frombuffer(b"".join(bodies), np.uint8)
-        self.sizes = np.fromiter(map(len, bodies), np.int64, len(bodies))
-        self.ends = np.cumsum(self.sizes)
-        n = len(self.bytes)
-        self.hashes = Stretches(self.bytes)
-        count = max(0, n - DEPTH + 1)
-        self.valid = np.repeat(self.ends, self.sizes)[:count] - np.arange(count) >= DEPTH
-
-    def runs(self, gram: int, among: np.ndarray | None = None) -> Runs:
-        """The runs of one pass, among the suffixes of a mask."""
-        ok = self.valid if among is None else self.valid & among
-        if not ok.any():
+    """The suffixes of at least ``DEPTH`` bytes of some documents, or of stretches of them.
+
+    ``owner`` and ``origin`` say of each stretch which document it is from and where it starts.
+    """
+
+    def __init__(self, data: np.ndarray, sizes: np.ndarray, owner: np.ndarray | None = None, origin: np.ndarray | None = None) -> None:
+        self.bytes, self.sizes, self.ends = data, sizes, np.cumsum(sizes)
+        self.owner = np.arange(len(sizes)) if owner is None else owner
+        self.origin = self.ends - sizes if origin is None else origin
+        self.hashes = Stretches(data)
+        count = max(0, len(data) - DEPTH + 1)
+        self.valid = np.repeat(self.ends, sizes)[:count] - np.arange(count) >= DEPTH
+
+    @classmethod
+    def of(cls, bodies: list[bytes]) -> "Suffixes":
+        return cls(np.frombuffer(b"".join(bodies), np.uint8), np.fromiter(map(len, bodies), np.int64, len(bodies)))
+
+    def stretch(self, starts: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.ends, starts, "right")
+
+    def place(self, starts: np.ndarray) -> np.ndarray:
+        """Where the suffixes at ``starts`` start in the documents."""
+        at = self.stretch(starts)
+        return starts - (self.ends - self.sizes)[at] + self.origin[at]
+
+    def runs(self, gram: int) -> Runs:
+        """The runs of one pass."""
+        if not self.valid.any():
             none = np.zeros(0, np.int64)
             return Runs(none, none, none, none.view(np.uint64), none.view(np.uint64))
         least = _sliding(np.minimum, self.hashes.all_of(gram), DEPTH - gram + 1)
-        joined = ok[1:] & ok[:-1] & (least[1:] == least[:-1])
+        joined = self.valid[1:] & self.valid[:-1] & (least[1:] == least[:-1])
         if gram == DEPTH:
             joined[:] = False
-        start = np.flatnonzero(ok & np.r_[True, ~joined])
-        last = np.flatnonzero(ok & np.r_[~joined, True])
+        start = np.flatnonzero(self.valid & np.r_[True, ~joined])
+        last = np.flatnonzero(self.valid & np.r_[~joined, True])
         whole = self.hashes.between(start, last + DEPTH)
         count = last - start + 1
         # In the last pass the digit is of the same bytes, so the first half goes into the fingerprint.
         half = self.hashes.between(start, start + DEPTH // 2)
         fingerprint = mix(whole + (half if gram == DEPTH else count.astype(np.uint64)) * np.uint64(NEXT))
-        return Runs(start, count, np.searchsorted(self.ends, start, "right"), least[start], fingerprint)
-
-    def mask(self, starts: np.ndarray) -> np.ndarray:
-        chosen = np.zeros(len(self.valid), bool)
-        chosen[starts] = True
-        return chosen
-
-    def open_runs(self, parts: list[list[list[int] | None]]) -> Runs:
-        """The runs of the pass after those whose open runs are listed."""
-        among = None
-        for gram, lists in zip(GRAMS, parts, strict=False):
-            runs = self.runs(gram, among)
-            among = self.mask(runs.suffixes(runs.listed(lists)))
-        return self.runs(GRAMS[len(parts)], among)
+        return Runs(start, count, self.owner[self.stretch(start)], least[start], fingerprint)
+
+    def within(self, starts: np.ndarray) -> "Suffixes":
+        """The suffixes at ``starts`` alone, as stretches that hold just them."""
+        chosen = np.zeros(len(self.valid) + 2, np.int8)
+        chosen[starts + 1] = 1
+        steps = np.diff(chosen)
+        first, after = np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
+        own = self.stretch(first)
+        # Neighbours that stand in different stretches are cut apart by their suffixes being invalid.
+        sizes = after - first + DEPTH - 1
+        ends = np.cumsum(sizes)
+        flat = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first - (ends - sizes), sizes)
+        return Suffixes(self.bytes[flat], sizes, self.owner[own], self.place(first))
 
     def later_in_document(self) -> np.ndarray:
         """The starts of strings that also start earlier in their own document."""
@@ -140,42 +153,51 @@ class Suffixes:
         edge = np.zeros(width - 1, np.uint64)
         chosen = np.flatnonzero(_sliding(np.maximum, np.concatenate([edge, bars, edge]), width) == grams)
         # A repeated string has its least gram twice in the document.
-        pairs = _pairs(np.searchsorted(self.ends, chosen, "right"), grams[chosen])
-        pairs.sort()
-        twice = pairs[1:][pairs[1:] == pairs[:-1]]
-        starts = runs.suffixes(np.isin(_pairs(runs.doc, runs.digit), twice))
+        keys = _with_document(self.stretch(chosen), grams[chosen])
+        keys.sort()
+        starts = runs.suffixes(np.isin(_with_document(runs.doc, runs.digit), keys[1:][keys[1:] == keys[:-1]]))
         if not len(starts):
             return starts
         whole = self.hashes.between(starts, starts + DEPTH)
         half = self.hashes.between(starts, starts + DEPTH // 2)
-        doc = np.searchsorted(self.ends, starts, "right")
+        doc = self.stretch(starts)
         order = np.lexsort((starts, half, whole, doc))
         whole, half, doc = whole[order], half[order], doc[order]
         same = (whole[1:] == whole[:-1]) & (half[1:] == half[:-1]) & (doc[1:] == doc[:-1])
         return starts[order][1:][same]
 
-    def repeated(self, wholes: list[list], parts: list[list]) -> np.ndarray:
-        """The starts of all strings that start earlier, given each pass's lists per document."""
-        starts, among = [self.later_in_document()], None
-        for k, gram in enumerate(GRAMS[: len(wholes)]):
-            runs = self.runs(gram, among)
-            starts.append(runs.suffixes(runs.listed(wholes[k])))
-            if k + 1 < len(GRAMS):
-                among = self.mask(runs.suffixes(runs.listed(parts[k])))
-        return np.concatenate(starts)
-
-    def cover(self, starts: np.ndarray) -> np.ndarray:
+    def cover(self, starts: list[np.ndarray]) -> np.ndarray:
         """Which bytes the strings at ``starts`` cover."""
-        steps = np.zeros(len(self.bytes) + 1, np.int32)
-        np.add.at(steps, starts, 1)
-        np.add.at(steps, starts + DEPTH, -1)
+        every = np.concatenate(starts)
+        n = len(self.bytes) + 1
+        if not len(every):
+            return np.zeros(n - 1, bool)
+        steps = np.bincount(every, minlength=n) - np.bincount(every + DEPTH, minlength=n)
         return np.cumsum(steps[:-1]) > 0
 
 
-def _pairs(doc: np.ndarray, value: np.ndarray) -> np.ndarray:
-    made = np.empty(len(doc), [("doc", np.int64), ("value", np.uint64)])
-    made["doc"], made["value"] = doc, value
-    return made
+def _with_document(doc: np.ndarray, value: np.ndarray) -> np.ndarray:
+    return mix(value + (doc.astype(np.uint64) + np.uint64(1)) * np.uint64(NEXT))
+
+
+def open_runs(s: Suffixes, parts: list[list[list[int] | None]]) -> Runs:
+    """The runs of the pass after those whose open runs are listed."""
+    for gram, lists in zip(GRAMS, parts, strict=False):
+        runs = s.runs(gram)
+        s = s.within(runs.suffixes(runs.listed(lists)))
+    return s.runs(GRAMS[len(parts)])
+
+
+def repeated(s: Suffixes, wholes: list[list], parts: list[list]) -> list[np.ndarray]:
+    """The starts of strings that repeat earlier documents, given each pass's lists per document."""
+    starts = []
+    for k, gram in enumerate(GRAMS):
+        runs = s.runs(gram)
+        starts.append(s.place(runs.suffixes(runs.listed(wholes[k]))))
+        if not any(parts[k]):
+            break
+        s = s.within(runs.suffixes(runs.listed(parts[k])))
+    return starts
 
 
 def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
@@ -210,8 +232,7 @@ def _emit(n_before: int) -> Callable:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, bodies in _slices(batches):
-            s = Suffixes(bodies)
-            runs = s.open_runs([_column(batch, f"parts_{k}") for k in range(n_before)])
+            runs = open_runs(Suffixes.of(bodies), [_column(batch, f"parts_{k}") for k in range(n_before)])
             order = np.lexsort((runs.print, runs.digit, runs.doc))
             digit, fp, doc = runs.digit[order], runs.print[order], runs.doc[order]
             new = np.ones(len(doc), bool)
@@ -228,7 +249,7 @@ _RESULT = [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.in
 _ALONE = "doc long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, z binary"
 
 
-def _left(s: Suffixes, bodies: list[bytes], starts: np.ndarray) -> tuple[dict[str, list], list[bytes]]:
+def _left(s: Suffixes, bodies: list[bytes], starts: list[np.ndarray]) -> tuple[dict[str, list], list[bytes]]:
     """The counts of each document without the strings at ``starts``, and what is left of it."""
     covered = s.cover(starts)
     rows: dict[str, list] = {name: [] for name, _ in _RESULT}
@@ -251,8 +272,8 @@ def _alone(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     pack = zstandard.ZstdCompressor(level=1).compress
     for batch, bodies in _slices(batches):
-        s = Suffixes(bodies)
-        rows, _ = _left(s, bodies, s.later_in_document())
+        s = Suffixes.of(bodies)
+        rows, _ = _left(s, bodies, [s.later_in_document()])
         made = [pa.array(rows[name], kind) for name, kind in _RESULT]
         packed = pa.array([pack(b) for b in bodies], pa.binary())
         keys = [batch.column(batch.schema.get_field_index(n)) for n in ("doc", "doc_id")]
@@ -264,20 +285,20 @@ def _result(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, bodies in _slices(batches):
         names = batch.schema.names
         wholes, parts = ([_column(batch, f"{kind}_{k}") for k in range(len(GRAMS))] for kind in ("wholes", "parts"))
-        touched = [i for i in range(batch.num_rows) if any(lists[i] for lists in wholes)]
         rows = {name: _column(batch, name) for name, _ in _RESULT}
         kept: list[bytes | None] = [None] * batch.num_rows
-        for some, given in ((touched, True), (sorted(set(range(batch.num_rows)) - set(touched)), False)):
-            if not some or not (given or "kept" in names):
-                continue
-            own = [bodies[i] for i in some]
-            s = Suffixes(own)
-            starts = (
-                s.repeated([[w[i] for i in some] for w in wholes], [[p[i] for i in some] for p in parts])
-                if given
-                else s.later_in_document()
-            )
-            new, left = _left(s, own, starts)
+        kinds: dict[tuple[bool, bool], list[int]] = {}
+        for i in range(batch.num_rows):
+            given, own = any(lists[i] for lists in wholes), rows["n_removed"][i] > 0
+            if given or "kept" in names:
+                kinds.setdefault((given, own), []).append(i)
+        for (given, own), some in kinds.items():
+            texts = [bodies[i] for i in some]
+            s = Suffixes.of(texts)
+            starts = [s.later_in_document()] if own else [np.zeros(0, np.int64)]
+            if given:
+                starts += repeated(s, [[w[i] for i in some] for w in wholes], [[p[i] for i in some] for p in parts])
+            new, left = _left(s, texts, starts)
             for j, i in enumerate(some):
                 kept[i] = left[j]
                 for name in new:
