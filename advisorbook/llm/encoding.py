@@ -78,24 +78,28 @@ class Encoder:
             for e in self.library.encode_batch_fast(pieces[start : start + 10_000], add_special_tokens=False):
                 yield array("I", e.ids).tobytes()
 
-    def _encode_words(self, words: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids and sizes of words of letters, many in one call: the vocabulary marks where a word starts or ends."""
-        ids, sizes = [], []
-        chunks = [words[k : k + _TOGETHER] for k in range(0, len(words), _TOGETHER)]
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and sizes of words of letters, many in one call: the vocabulary marks where a word starts or ends.
+
+        Also which words the tokenizer takes apart, as their normal form holds more than letters.
+        """
+        ids, sizes, odd = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)], np.zeros(len(words), bool)
+        starts = range(0, len(words), _TOGETHER)
         space = " " if self.byte_level else ""
+        chunks = [words[k : k + _TOGETHER] for k in starts]
         found = self.library.encode_batch_fast([space + " ".join(c) for c in chunks], add_special_tokens=False)
-        for chunk, e in zip(chunks, found, strict=True):
+        for k, chunk, e in zip(starts, chunks, found, strict=True):
             made = np.array(e.ids, "<u4")
             marks = np.flatnonzero(self.marks[made])
             if len(marks) == len(chunk):
                 size = np.diff(marks, append=len(made)) if self.byte_level else np.diff(marks, prepend=-1)
-            else:  # a letter that the tokenizer takes apart
-                packed = list(self._encode(chunk))
-                made = np.frombuffer(b"".join(packed), "<u4")
-                size = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+            else:
+                each = [np.frombuffer(packed, "<u4") for packed in self._encode(chunk)]
+                made, size = np.concatenate(each), np.fromiter(map(len, each), np.int64, len(each))
+                odd[k : k + len(chunk)] = [self.marks[x].sum() != 1 for x in each]
             ids.append(made)
             sizes.append(size)
-        return ids, sizes
+        return np.concatenate(ids), np.concatenate(sizes), odd
 
     def _kept(self, cache: dict[str, bytes], pieces: list[str], encode: Callable) -> list[bytes]:
         """Packed ids of pieces that are no words; those met before come from a bounded cache."""
@@ -121,9 +125,11 @@ class Encoder:
         is_plain = plain.to_numpy(zero_copy_only=False)
         words = word.filter(plain)
         words = (words if self.byte_level else pc.ascii_lower(words)).dictionary_encode()
-        ids, sizes = self._encode_words(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids, word_sizes, odd = self._encode_words(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        is_plain = is_plain.copy()
         first, second = np.zeros(len(pieces), np.int32), np.zeros(len(pieces), np.int32)
         first[is_plain] = words.indices.to_numpy() + 1
+        is_plain[is_plain] = ~odd[words.indices.to_numpy()]
         n = len(words.dictionary) + 1
         tailed = np.flatnonzero(is_plain & (pc.binary_length(pieces).to_numpy() > pc.binary_length(word).to_numpy()))
         whole = pieces.take(pa.array(tailed)).to_numpy(zero_copy_only=False).tolist()
@@ -135,8 +141,8 @@ class Encoder:
         first[others] = n + len(packed) + np.arange(len(others))
         rest = pieces.take(pa.array(others)).to_numpy(zero_copy_only=False).tolist()
         packed += self._kept(self.others, rest, lambda new: list(self._encode(new)))
-        sizes = np.concatenate([[0], *sizes, np.fromiter(map(len, packed), np.int64, len(packed)) // 4])
-        return np.concatenate([*ids, np.frombuffer(b"".join(packed), "<u4")]), sizes, first, second
+        sizes = np.concatenate([[0], word_sizes, np.fromiter(map(len, packed), np.int64, len(packed)) // 4])
+        return np.concatenate([ids, np.frombuffer(b"".join(packed), "<u4")]), sizes, first, second
 
     def _gather(self, lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all pieces, where each list and each piece ends among them, and which pieces close a sentence."""

@@ -4,7 +4,7 @@ Base spans come from the text as it is. The method adds spans: a chain of transd
 rewrites a text (homoglyphs to ASCII, spelled digits to digits, at/dot disguises to signs)
 and keeps for each piece of its output the piece of source it came from; the detectors then
 run over the normalised text and their spans are mapped back. An added span never replaces
-a base span and never overlaps one of its kind.
+a base span and never lies inside one of its kind.
 
 Offsets are code points, ends exclusive. A null text is empty. Rows are read one by one, so
 repeated rows and further columns change nothing; an empty table gives no rows. Every
@@ -278,7 +278,7 @@ def find_all(text: str) -> tuple[list[Span], list[Span]]:
     spans = list(base)
     for kind, start, end in detect(plain.text):
         first, last = plain.source(start, end)
-        if not any(k == kind and s < last and first < e for k, s, e in base):
+        if not any(k == kind and s <= first and last <= e for k, s, e in base):
             spans.append((kind, first, last))
     return base, sorted(set(spans), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
