@@ -70,9 +70,9 @@ SNAPSHOT_DATE = "snapshot_date"
 INGESTED_AT = "ingested_at"
 METADATA: dict[str, DataType] = {SNAPSHOT_DATE: DateType(), INGESTED_AT: TimestampNTZType()}
 
-# Money is summed as a decimal, so totals do not depend on the order of rows.
-# Pass a wider type where balances carry more than two decimals.
-MONEY = DecimalType(18, 2)
+# Money is summed as a decimal, so totals do not depend on the order of rows. Eight decimals
+# keep what units times a net asset value carry; a balance beyond it stops the run.
+MONEY = DecimalType(28, 8)
 
 # Grain of the monthly fact.
 KPI_KEYS = ("agent_id", "month_start_date")

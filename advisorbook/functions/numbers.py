@@ -2,15 +2,6 @@
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
-
-from advisorbook.contracts import MONEY
-
-
-def exact_sum(value: Column, money: DataType = MONEY) -> Column:
-    """Sum as decimal: the same total for any order of rows and any partitioning."""
-    return F.sum(value.cast(money))
-
 
 def share(part: Column, total: Column) -> Column:
     """part / total where the total is positive, else NULL."""

@@ -30,7 +30,7 @@ def align(df: DataFrame, target: StructType) -> DataFrame:
     present = {c.lower() for c in df.columns}
     return df.select(
         *[
-            F.col(f.name) if f.name.lower() in present else F.lit(None).cast(f.dataType).alias(f.name)
+            F.col("`" + f.name.replace("`", "``") + "`") if f.name.lower() in present else F.lit(None).cast(f.dataType).alias(f.name)
             for f in target
         ]
     )

@@ -13,6 +13,13 @@ from advisorbook.operators.incremental import after
 from advisorbook.operators.latest import latest_per_key
 
 
+def as_money(value: Column, money: DataType = MONEY) -> Column:
+    """The value as money; one that does not fit fails with a message instead of turning NULL."""
+    fitted = value.try_cast(money)
+    message = F.concat(F.lit(f"Balance does not fit {money.simpleString()}: "), value.cast("string"))
+    return F.when(value.isNotNull() & fitted.isNull(), F.raise_error(message).cast(money)).otherwise(fitted)
+
+
 def month_end_entries(staged: DataFrame, money: DataType = MONEY) -> DataFrame:
     """The last live entry per agent, customer, product and month.
 
@@ -27,7 +34,7 @@ def month_end_entries(staged: DataFrame, money: DataType = MONEY) -> DataFrame:
         F.col("portfolio_month").alias("month_start_date"),
         "portfolio_date",
         "portfolio_id",
-        F.col("ending_balance").cast(money).alias("ending_balance"),
+        as_money(F.col("ending_balance"), money).alias("ending_balance"),
     )
     return latest_per_key(
         entries,

@@ -46,7 +46,7 @@ def standard_report(
         (
             products,
             [
-                *missing("products", "product_id"),
+                *missing("products", "product_id", "asset_class"),
                 q.RowCheck(
                     "products.asset_class.accepted_values",
                     q.is_unexpected("asset_class", ASSET_CLASSES),

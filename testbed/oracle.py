@@ -76,12 +76,17 @@ listed as (
   where p_name not like 'new %')"""
 
 
-def month_ends(name: str = "me", source: str = "stg", condition: str = "true") -> str:
+def month_ends(
+    name: str = "me",
+    source: str = "stg",
+    condition: str = "true",
+    balance: str = "cast(ending_balance as decimal(18, 2))",
+) -> str:
     return f"""
 {name} as (
   select agent_id, customer_id, product_id, month_start_date, portfolio_date, portfolio_id, balance
   from (select agent_id, customer_id, product_id, portfolio_month as month_start_date,
-          portfolio_date, portfolio_id, cast(ending_balance as decimal(18, 2)) as balance,
+          portfolio_date, portfolio_id, {balance} as balance,
           row_number() over (
             partition by agent_id, customer_id, product_id, portfolio_month
             order by portfolio_date desc nulls last, portfolio_id desc nulls last) as place
@@ -328,6 +333,15 @@ where ranked.rank <= 5 order by month_start_date desc, ranked.rank""",
         "select agent_id, month_start_date, cast(sum(balance) as double) as total_aum"
         " from me group by agent_id, month_start_date",
     ),
+    "total_aum_four_decimals": _with(
+        (
+            PH,
+            STG,
+            month_ends(balance="cast(ending_balance as decimal(18, 2)) * (1 - cast(redeem_unit as decimal(4, 2)))"),
+        ),
+        "select agent_id, month_start_date, cast(sum(balance) as double) as total_aum"
+        " from me group by agent_id, month_start_date",
+    ),
     "aum_split": _with(
         FACT,
         "select agent_id, month_start_date, aum_equity_campuran, aum_fixed_income,"

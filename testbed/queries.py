@@ -114,6 +114,14 @@ def total_aum(spark: SparkSession, d: str) -> DataFrame:
     return kpi_plans.total_aum(_entries(spark, d))
 
 
+@query("total_aum_four_decimals")
+def total_aum_four_decimals(spark: SparkSession, d: str) -> DataFrame:
+    """Balances net of discount, which carry four decimals."""
+    net = F.col("ending_balance") * (1 - F.col("redeem_unit"))
+    raw = tb.history(spark, d).withColumn("ending_balance", net)
+    return kpi_plans.total_aum(stage_portfolio(raw, KPI_INPUTS))
+
+
 @query("aum_split")
 def aum_split(spark: SparkSession, d: str) -> DataFrame:
     return _kpis(spark, d).select(

@@ -131,7 +131,7 @@ def test_standard_report_passes_on_clean_data_and_finds_seeded_faults(spark):
         )
 
     clean = report(rows, masters)
-    assert clean.filter("status <> 'pass'").isEmpty() and clean.count() == 29
+    assert clean.filter("status <> 'pass'").isEmpty() and clean.count() == 30
     faulty = report(
         [*rows, {"agent_id": 1, "product_id": 99, "unit_holder_id": 77, "date": "2026-05-01"}],
         masters,

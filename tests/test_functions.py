@@ -100,10 +100,3 @@ def test_share_and_change_guard_their_denominators(spark):
     assert one(spark, numbers.relative_change(F.lit(3.0), F.lit(2.0))) == 0.5
     assert one(spark, numbers.relative_change(F.lit(3.0), F.lit(0.0))) is None
     assert one(spark, numbers.relative_change(F.lit(3.0), F.lit(None).cast("double"))) is None
-
-
-def test_exact_sum_does_not_depend_on_order(spark):
-    values = [0.1] * 1000 + [1e12, -1e12]
-    for order in (values, values[::-1]):
-        df = spark.createDataFrame([(v,) for v in order], "v double").repartition(7)
-        assert float(df.agg(numbers.exact_sum(F.col("v"))).first()[0]) == 100.0

@@ -98,6 +98,17 @@ def test_threshold_is_strict_and_spans_products(spark):
     assert row["core_customer_threshold_idr"] == 100_000_000
 
 
+def test_small_digits_of_balances_count(spark):
+    part = 33_333_333.3349
+    got = only(kpis(spark, *({"id": k, "unit_holder_id": 10, "ending_balance": part, "product_id": k} for k in (1, 2, 3))))
+    assert got["total_aum"] == 100_000_000.0047 and got["core_customer_count"] == 1
+
+
+def test_a_balance_that_does_not_fit_is_named(spark):
+    with pytest.raises(Exception, match="Balance does not fit"):
+        kpis(spark, {"ending_balance": 1e25}).collect()
+
+
 def test_buckets_and_unmatched_product(spark):
     got = kpis(
         spark,
