@@ -5,13 +5,15 @@ Jaccard similarity t or more share a shingle among the first |A| - ceil(t |A|) +
 Classes with identical prefixes and size make one group; groups meet on the shingles of
 their prefixes, and a group pair is kept when its sizes fit and the shingles counted up to
 the last common one still allow the overlap that t needs. What holds for a group's prefix and
-size holds for all its members, so the kept pairs are expanded to members and verified on
-their full sets, read again from the texts.
+size holds for all its members, so the kept pairs are expanded to members. A parity sketch of
+about one bit per shingle, on which two sets differ in no more places than they have shingles
+apart, drops members that differ too much; the others are verified on their full sets, read
+again from the texts.
 
 The order puts shingles that are frequent in the tasks' own counts last, then goes by hash;
 any order gives the same links. Not all pairs of a large family of near copies are tried:
-in a first round each member meets its group's first member, and each group the first group
-of similar size on one of its shingles. A second round tries every remaining candidate pair
+in a first round each member meets its group's first member, and each group the first groups
+of similar size on its shingles. A second round tries every remaining candidate pair
 that joins two different components of the first, so no link between components is lost. A
 link inside a component adds nothing to it and is not looked for.
 
@@ -85,6 +87,38 @@ def _list_key(s: np.ndarray) -> bytes:
     return _set_key(mix(s + place))
 
 
+def _parity(s: np.ndarray) -> bytes:
+    """Whether the shingles that fall on each bit are odd in number; about one bit per shingle."""
+    size = max(64, 1 << (len(s) - 1).bit_length())
+    times = np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size)
+    return np.packbits(times.astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def _apart(x: bytes, y: bytes) -> int:
+    """The bits in which two parity sketches differ; the longer is folded to the size of the other."""
+    a, b = (np.frombuffer(z, np.uint64) for z in (x, y))
+    while len(a) != len(b):
+        if len(a) > len(b):
+            a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+        else:
+            b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def _near(share: int) -> Callable:
+    """The pairs whose sketches differ in no more bits than similar sets have shingles apart."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y, na, nb = (batch.column(k).to_pylist() for k in range(2, 6))
+            near = [
+                _apart(p, q) <= i + j + 2 * (-share * (i + j) // (100 + share)) for p, q, i, j in zip(x, y, na, nb, strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    return run
+
+
 def _describe(words: int) -> Callable:
     """Rows of documents (their class and size) and of the task's frequent sketch cells."""
 
@@ -120,12 +154,13 @@ def _prefixes(words: int, share: int, levels: bytes) -> Callable:
                     size = len(s) + (-share * len(s) // 100) + 1
                     rank = level[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                     prefix = s[np.argsort(rank, kind="stable")[:size]]
-                    rows[key] = (len(s), _list_key(prefix), prefix.view(np.int64))
-            n, keys, prefixes = zip(*rows.values(), strict=True) if rows else ((), (), ())
+                    rows[key] = (len(s), _list_key(prefix), prefix.view(np.int64), _parity(s))
+            n, keys, prefixes, bits = zip(*rows.values(), strict=True) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(rows), pa.binary()), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
-                ["c", "n", "px", "prefix"],
-            )
+                [pa.array(list(rows), pa.binary()), pa.array(n, pa.int64()), pa.array(keys, pa.binary()),
+                 pa.array(prefixes, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
+                ["c", "n", "px", "prefix", "bits"],
+            )
 
     return run
 
@@ -198,9 +233,9 @@ class SimilarityJoin:
         for row in cells.collect():  # at most the cells of the sketch
             levels[row["cell"]] = row["times"].bit_length()
         prefixes = self.rows.select("text").mapInArrow(
-            _prefixes(words, share, levels.tobytes()), "c binary, n long, px binary, prefix array<long>"
+            _prefixes(words, share, levels.tobytes()), "c binary, n long, px binary, prefix array<long>, bits binary"
         )
-        first = prefixes.groupBy("c").agg(*(F.first(x).alias(x) for x in ("n", "px", "prefix")))
+        first = prefixes.groupBy("c").agg(*(F.first(x).alias(x) for x in ("n", "px", "prefix", "bits")))
         self.classes = cut_lineage(first.withColumn("cid", F.monotonically_increasing_id()), "classes")
         groups = cut_lineage(self.classes.groupBy("px", "n").agg(F.min("cid").alias("gid")), "groups")
         self.members = cut_lineage(
@@ -220,7 +255,9 @@ class SimilarityJoin:
         counted = matches.groupBy("a", "b", "na", "nb").agg(
             F.count(F.lit(1)).alias("o"), F.max("pa").alias("pa"), F.max("pb").alias("pb")
         )
-        most = F.col("o") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
+        # A group of several components may meet another more than once on a shingle.
+        common = F.least("o", F.col("pa") + 1, F.col("pb") + 1)
+        most = common + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
         return counted.filter((100 + self.share) * most >= self.share * (F.col("na") + F.col("nb"))).select("a", "b")
 
     def _side(self, frame: DataFrame, side: str) -> DataFrame:
@@ -228,7 +265,12 @@ class SimilarityJoin:
 
     def _verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs of classes ``a``, ``b`` that are links."""
-        pairs = cut_lineage(pairs.distinct(), f"{name}-pairs")
+        sketch = self.classes.select("cid", "bits", "n")
+        both = pairs.distinct().join(sketch.withColumnsRenamed({"cid": "a", "bits": "x", "n": "na"}), "a").join(
+            sketch.withColumnsRenamed({"cid": "b", "bits": "y", "n": "nb"}), "b"
+        )
+        near = both.select("a", "b", "x", "y", "na", "nb").mapInArrow(_near(self.share), "a long, b long")
+        pairs = cut_lineage(near, f"{name}-pairs")
         needed = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
         found = self.members.select("cid", "c").join(needed, "cid")
         keep = self.documents.groupBy("c").agg(F.min(F.struct("doc_id", "h")).alias("d")).join(found, "c")
@@ -251,8 +293,7 @@ class SimilarityJoin:
             banded.groupBy("shingle", "band").agg(F.min(F.struct("gid", "n", "pos")).alias("p")).select("shingle", "band", "p.*"), "pivots"
         )
         met = self._side(banded, "b").join(self._side(pivots, "a"), ["shingle", "band"]).filter("a < b")
-        best = self._possible(met).groupBy("b").agg(F.min("a").alias("a"))
-        return self._verified(inside.unionByName(best.select("a", "b")), "first")
+        return self._verified(inside.unionByName(self._possible(met)), "first")
 
     def _second_round(self, roots: DataFrame) -> DataFrame:
         """Links between components of the first round."""
@@ -274,8 +315,8 @@ class SimilarityJoin:
         met = met.filter(self._sizes_fit("na", "nb") & (F.col("a") != F.col("b")))
         turn = F.col("a") > F.col("b")
         columns = [(F.when(turn, F.col(x + z)).otherwise(F.col(x + y))).alias(x + y) for x in ("n", "p") for y, z in ("ab", "ba")]
-        met = met.select("shingle", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), *columns)
-        pairs = cut_lineage(self._possible(met.dropDuplicates(["shingle", "a", "b"])), "group-pairs")
+        met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), *columns)
+        pairs = cut_lineage(self._possible(met), "group-pairs")
         left = rooted.select(F.col("gid").alias("a"), F.col("cid").alias("x"), F.col("root").alias("rx"))
         right = rooted.select(F.col("gid").alias("b"), F.col("cid").alias("y"), F.col("root").alias("ry"))
         several = of_group.groupBy("gid").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
