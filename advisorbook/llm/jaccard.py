@@ -18,7 +18,8 @@ that joins two different components of the first, so no link between components
 link inside a component adds nothing to it and is not looked for.
 
 Components come from rounds of large-star and small-star steps, each written to the shared
-folder. Nothing but counts of a sketch of fixed size comes to the driver. Skewed shingles are
+folder. Nothing but counts of a sketch and a bitmap, both of fixed size, comes to the driver; the
+bitmap only spares texts that no pair needs a shuffle. Skewed shingles are
 split by Spark's joins; aggregations combine within map tasks.
 
 A text without words has an empty set, is linked with nothing and is its own component; null
@@ -42,6 +43,7 @@ from advisorbook.session import cut_lineage
 
 WORDS, SHARE = 3, 90
 SKETCH_BITS = 20
+MARK_WORDS = 1 << 17
 _SLICE = 4 << 20
 # The bytes between words.
 _WHITE = np.zeros(256, bool)
@@ -165,13 +167,36 @@ def _prefixes(words: int, share: int, levels: bytes) -> Callable:
     return run
 
 
-def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import zstandard
+def _marks(keep: DataFrame) -> bytes:
+    """A bitmap of ``MARK_WORDS`` words in which each text key of ``k_h`` has its bit set."""
+    word = F.expr(f"shiftrightunsigned(k_h, 6) & {MARK_WORDS - 1}")
+    words = keep.groupBy(word.alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(k_h & 63 AS INT)))").alias("bits"))
+    marks = np.zeros(MARK_WORDS, np.int64)
+    for row in words.collect():  # at most the words of the bitmap
+        marks[row["word"]] = row["bits"]
+    return marks.tobytes()
 
-    pack = zstandard.ZstdCompressor(level=1).compress
-    for batch in batches_of_text(batches, at=2, chars=_SLICE):
-        z = pa.array([pack(b) for b in utf8_texts(batch)], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), z], ["doc_id", "h", "z"])
+
+def _pack(marks: bytes) -> Callable:
+    """The texts whose key is marked, compressed."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        words = np.frombuffer(marks, np.uint64)
+        pack = zstandard.ZstdCompressor(level=1).compress
+
+        def marked() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                h = batch.column(1).to_numpy().view(np.uint64)
+                bit = words[((h >> np.uint64(6)) & np.uint64(len(words) - 1)).astype(np.int64)] >> (h & np.uint64(63))
+                yield batch.filter(pa.array(bit & np.uint64(1) > 0))
+
+        for batch in batches_of_text(marked(), at=2, chars=_SLICE):
+            z = pa.array([pack(b) for b in utf8_texts(batch)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), z], ["doc_id", "h", "z"])
+
+    return run
 
 
 def _verify(words: int, share: int) -> Callable:
@@ -274,8 +299,8 @@ class SimilarityJoin:
         needed = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
         found = self.members.select("cid", "c").join(needed, "cid")
         keep = self.documents.groupBy("c").agg(F.min(F.struct("doc_id", "h")).alias("d")).join(found, "c")
-        keep = keep.select("cid", F.col("d.doc_id").alias("k_id"), F.col("d.h").alias("k_h"))
-        packed = self.rows.mapInArrow(_pack, "doc_id long, h long, z binary")
+        keep = cut_lineage(keep.select("cid", F.col("d.doc_id").alias("k_id"), F.col("d.h").alias("k_h")), f"{name}-keys")
+        packed = self.rows.mapInArrow(_pack(_marks(keep)), "doc_id long, h long, z binary")
         same = (packed["h"] == keep["k_h"]) & packed["doc_id"].eqNullSafe(keep["k_id"])
         texts = packed.join(keep, same).select("cid", "z").dropDuplicates(["cid"])
         texts = cut_lineage(texts, f"{name}-texts")
