@@ -12,8 +12,9 @@ again from the texts.
 
 The order puts shingles that are frequent in the tasks' own counts last, then goes by hash;
 any order gives the same links. Not all pairs of a large family of near copies are tried:
-in a first round each member meets its group's first member, and each group the first groups
-of similar size on its shingles. A second round tries every remaining candidate pair
+in a first round each member meets its group's first member, and each group the
+most central group of similar size on each of its shingles, that with fewest rarer ones; copies
+with edits of their own differ less from it than from one another. A second round tries every remaining candidate pair
 that joins two different components of the first, so no link between components is lost. A
 link inside a component adds nothing to it and is not looked for.
 
@@ -315,10 +316,11 @@ class SimilarityJoin:
         band = F.floor(F.log("n") / math.log(100 / self.share)) if self.share < 100 else F.col("n")
         banded = self.entries.withColumn("band", band)
         pivots = cut_lineage(
-            banded.groupBy("shingle", "band").agg(F.min(F.struct("gid", "n", "pos")).alias("p")).select("shingle", "band", "p.*"), "pivots"
+            banded.groupBy("shingle", "band").agg(F.min(F.struct("pos", "gid", "n")).alias("p")).select("shingle", "band", "p.*"), "pivots"
         )
-        met = self._side(banded, "b").join(self._side(pivots, "a"), ["shingle", "band"]).filter("a < b")
-        return self._verified(inside.unionByName(self._possible(met)), "first")
+        met = self._side(banded, "b").join(self._side(pivots, "a"), ["shingle", "band"]).filter("a != b")
+        pairs = self._possible(met).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        return self._verified(inside.unionByName(pairs), "first")
 
     def _second_round(self, roots: DataFrame) -> DataFrame:
         """Links between components of the first round."""
