@@ -135,6 +135,18 @@ def test_jaccard_by_force(spark):
     assert sorted_tuples(jaccard.similar_components(documents(spark, rows))) == components_by_force(rows, 90, 3)
 
 
+def test_sketches_never_differ_more_than_their_sets():
+    rng = np.random.default_rng(4)
+    pool = rng.integers(0, 2**64, 3000, dtype=np.uint64)
+    for size in (0, 1, 2, 63, 64, 65, 500, 1100, 2900):
+        for changed in (0, 1, 7, 100):
+            a = np.unique(pool[:size])
+            b = np.unique(np.r_[pool[min(changed, size) : size], pool[2900 : 2900 + changed]])
+            apart = jaccard._apart(jaccard._parity(a), jaccard._parity(b))
+            assert apart <= len(np.setxor1d(a, b))
+            assert jaccard._apart(jaccard._parity(b), jaccard._parity(a)) == apart
+
+
 def test_one_of_each_component_stays(spark):
     rows = near_copies()
     frame = documents(spark, rows)
