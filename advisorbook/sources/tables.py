@@ -79,6 +79,15 @@ def replace_partitions(df: DataFrame, table: str) -> None:
         aligned.write.insertInto(table, overwrite=True)
 
 
+def require_unique(source: DataFrame, keys: Sequence[str], table: str) -> None:
+    """Fail, naming one of them, where keys occur more than once; NULL equals NULL."""
+    times = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("times"))
+    repeated = times.filter("times > 1").first()
+    if repeated:
+        found = ", ".join(f"{k}={repeated[k]}" for k in keys)
+        raise ValueError(f"Source of {table} holds a key {repeated['times']} times: {found}")
+
+
 def merge_table(
     source: DataFrame, table: str, keys: Sequence[str], partition: str
 ) -> None:
@@ -87,12 +96,14 @@ def merge_table(
     The source is written once to the shared folder. Only the partitions it touches are
     read, merged and swapped; the merged rows are written before the swap, so losing
     executors or failing midway leaves the table readable and the merge can run again.
+    A key that the source holds twice fails before the table changes.
     """
     spark = source.sparkSession
+    staged = cut_lineage(source, "merge-source")
+    require_unique(staged, keys, table)
     if not spark.catalog.tableExists(table):
-        replace_table(source, table, [partition])
+        replace_table(staged, table, [partition])
         return
-    staged = cut_lineage(source, "merge-source")
     add_new_columns(spark, table, staged.schema)
     touched = [r[0] for r in staged.select(partition).distinct().collect()]
     if not touched:

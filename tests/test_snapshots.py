@@ -252,6 +252,18 @@ def test_merge_creates_a_missing_table(spark, database):
     assert rows_of(spark.table(table)) == [(1, day("2026-01-01"))]
 
 
+def test_merge_refuses_a_repeated_source_key(spark, database):
+    table = f"{database}.once"
+    jan = day("2026-01-01")
+    merge_table(spark.createDataFrame([(1, 1.0, jan)], "a int, x double, m date"), table, ["a", "m"], "m")
+    twice = spark.createDataFrame([(None, 2.0, jan), (None, 3.0, jan)], "a int, x double, m date")
+    for target in (table, f"{database}.never"):
+        with pytest.raises(ValueError, match="holds a key 2 times: a=None"):
+            merge_table(twice, target, ["a", "m"], "m")
+    assert rows_of(spark.table(table), "a", "x") == [(1, 1.0)]
+    assert not spark.catalog.tableExists(f"{database}.never")
+
+
 def test_union_and_align(spark):
     a = spark.createDataFrame([(1, "x")], "id int, old string")
     b = spark.createDataFrame([(2, 5)], "id int, new int")
