@@ -3,8 +3,9 @@
 Base spans come from the text as it is. The method adds spans: a chain of transducers
 rewrites a text (homoglyphs to ASCII, spelled digits to digits, at/dot disguises to signs)
 and keeps for each piece of its output the piece of source it came from; the detectors then
-run over the normalised text and their spans are mapped back. An added span never replaces
-a base span and never lies inside one of its kind.
+run over the normalised forms and their spans are mapped back. An added span never replaces
+a base span and never lies inside one of its kind. No text is spared the transducers by a
+cheaper look at it, so what is found never depends on unrelated text.
 
 Offsets are code points, ends exclusive. A null text is empty. Rows are read one by one, so
 repeated rows and further columns change nothing; an empty table gives no rows. Every
@@ -188,9 +189,11 @@ _NUMBER = "|".join(sorted(SPELLED, key=len, reverse=True))
 _SPELLED_RUN = re.compile(rf"(?<!\w)(?:(?:plus|\+)[ -]*)?(?:(?:{_NUMBER})(?:[ -]|, |\b(?= (?:{DOT_WORDS}) ))|[0-9]++[ -]?| (?:{DOT_WORDS}) ){{2,}}(?:(?:{_NUMBER})\b|[0-9]+)", re.I)
 _SPELLED_WORD = re.compile(rf"\b(?:{_NUMBER})\b", re.I)
 _BRACKETS = re.compile(rf" ?[\[({{<] ?(?:(@|{AT_WORDS})|(\.|{DOT_WORDS})) ?[\])}}>] ?", re.I)
-_AT_DOMAIN = re.compile(
-    rf"(?: (?:{AT_WORDS}) | ?@ ?|_at_)[A-Za-z0-9-]+(?:(?: (?:{DOT_WORDS}) |\.|_dot_)[A-Za-z0-9-]+)+", re.I
-)
+_DOMAIN_NAME = rf"[A-Za-z0-9-]++(?:(?: (?:{DOT_WORDS}) |\.|_dot_)[A-Za-z0-9-]++)++"
+_AT_SIGN = rf"(?: (?:{AT_WORDS}) | ?@ ?|_at_)"
+# What a sign follows at once is a local part and no domain: "me at john.doe@example.com".
+_AT_DOMAIN = re.compile(rf"{_AT_SIGN}{_DOMAIN_NAME}(?![A-Za-z0-9._%+-]*+@[A-Za-z0-9-])", re.I)
+_LAST_AT_DOMAIN = re.compile(rf"{_AT_SIGN}{_DOMAIN_NAME}(?![A-Za-z0-9._%+-]*+{_AT_SIGN}{_DOMAIN_NAME})", re.I)
 # Fixed value: a local part has at most 64 characters; its dots may be spelled.
 _LOCAL_REACH = 200
 _SPELLED_LOCAL = re.compile(rf"(?:[A-Za-z0-9._%+-]+ (?:{DOT_WORDS}) )+[A-Za-z0-9._%+-]+\Z", re.I)
@@ -200,8 +203,6 @@ _DOTS = re.compile(rf" ?(?:\.|(?:{DOT_WORDS})) ?", re.I)
 _DIGIT = re.compile("[0-9]")
 # Anything but ASCII and the letters of Latin scripts, which look like themselves.
 _STRANGE = re.compile("[^\x00-\x7f\xa1-\xac\xae-\u0130\u0132-\u024f]")
-_BRACKETED = re.compile(rf"[\[({{<] ?(?:@|\.|{AT_WORDS}|{DOT_WORDS}) ?[\])}}>]")
-_BARE = ("@ ", " @", *(f"{gap}{word}{gap}" for gap in " _" for word in DOT_WORDS.split("|")))
 
 
 def _spells(low: str) -> bool:
@@ -210,11 +211,6 @@ def _spells(low: str) -> bool:
     return words > {"un"} or bool(words) and (words != {"un"} or "un un" in low)
 
 
-def _hints(low: str) -> bool:
-    """Whether a lower-case text may have a disguised sign."""
-    return any(sign in low for sign in _BARE) or bool(_BRACKETED.search(low))
-
-
 def _spelled(text: str) -> list[tuple[int, int, str]]:
     """Digits for the words of runs of three or more; the gaps between two words go."""
     edits = []
@@ -233,10 +229,10 @@ def _spelled(text: str) -> list[tuple[int, int, str]]:
     return edits
 
 
-def _signs(text: str) -> list[tuple[int, int, str]]:
+def _signs(text: str, at_domain: re.Pattern[str]) -> list[tuple[int, int, str]]:
     """Signs for bare at and dot words, where an address or a number stands around them."""
     edits = []
-    for m in _AT_DOMAIN.finditer(text):
+    for m in at_domain.finditer(text):
         if m.start() == 0 or text[m.start() - 1] not in _LOCAL_CHARS:
             continue
         reach = max(0, m.start() - _LOCAL_REACH)
@@ -254,33 +250,35 @@ def _signs(text: str) -> list[tuple[int, int, str]]:
     return apart
 
 
-def normalise(text: str) -> Tracked | None:
-    """The text without disguises; None where it has none."""
+def normalise(text: str) -> list[Tracked]:
+    """The forms of the text without disguises, which differ from it and from one another.
+
+    One form leaves bare signs as they are. Of several at words in a row ("me at john.doe at
+    example.com") the first and the last count, each in a form of its own.
+    """
     tracked = Tracked(text)
     if _STRANGE.search(text):
         tracked.text = text.translate(_FOLD)
         tracked = tracked.edit([(*m.span(), "") for m in _INVISIBLE.finditer(tracked.text)])
-    low = tracked.text.lower()
-    if _spells(low):
+    if _spells(tracked.text.lower()):
         tracked = tracked.edit(_spelled(tracked.text))
-    if _hints(low):
-        tracked = tracked.edit([(*m.span(), "@" if m[1] else ".") for m in _BRACKETS.finditer(tracked.text)])
-        tracked = tracked.edit(_signs(tracked.text))
-    return None if tracked.text == text else tracked
+    bare = tracked.edit([(*m.span(), "@" if m[1] else ".") for m in _BRACKETS.finditer(tracked.text)])
+    forms = {text: None}
+    for form in (tracked, *(bare.edit(_signs(bare.text, p)) for p in (_AT_DOMAIN, _LAST_AT_DOMAIN))):
+        forms.setdefault(form.text, form)
+    return [form for form in forms.values() if form is not None]
 
 
 def find_all(text: str) -> tuple[list[Span], list[Span]]:
     """Base spans, and all spans with those found under disguises."""
     base = detect(text)
-    plain = normalise(text)
-    if plain is None:
-        return base, base
-    spans = list(base)
-    for kind, start, end in detect(plain.text):
-        first, last = plain.source(start, end)
-        if not any(k == kind and s <= first and last <= e for k, s, e in base):
-            spans.append((kind, first, last))
-    return base, sorted(set(spans), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
+    spans = set(base)
+    for plain in normalise(text):
+        for kind, start, end in detect(plain.text):
+            first, last = plain.source(start, end)
+            if not any(k == kind and s <= first and last <= e for k, s, e in base):
+                spans.add((kind, first, last))
+    return base, sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
 def mask(text: str) -> str:

@@ -262,6 +262,25 @@ def test_private_data_under_disguise():
         assert [text[s:e] for _, s, e in spans] == wanted and set(base) <= set(spans)
 
 
+def test_bare_signs_need_no_other_disguise():
+    cases = {
+        "write to john.doe at example.com today": ["john.doe at example.com"],
+        "john_doe_at_example.com": ["john_doe_at_example.com"],
+        "jean arobase exemple.fr": ["jean arobase exemple.fr"],
+        "host 192 . 168 . 1 . 10 up": ["192 . 168 . 1 . 10"],
+        "mail me at john.doe@example.com": ["john.doe@example.com"],
+        "meet at john.doe\uff20example.com": ["john.doe\uff20example.com"],
+        "mail me at john.doe at example.com": ["me at john.doe", "john.doe at example.com"],
+        "we meet at noon. all of us": [],
+    }
+    for text, wanted in cases.items():
+        spans = pii.find_all(text)[1]
+        assert [text[s:e] for _, s, e in spans] == wanted
+        assert pii.find_all(f"{text}\nthe dot is here [.]")[1] == spans
+    for text in (" at a.b" * 20_000, "1 . " * 20_000, "@" + "a." * 50_000 + "@a", "a at " * 50_000):
+        pii.find_all(text)
+
+
 def private_by_force(text):
     found = []
     for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
