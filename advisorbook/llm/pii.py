@@ -4,8 +4,8 @@ Base spans come from the text as it is. The method adds spans: a chain of transd
 rewrites a text (homoglyphs to ASCII, spelled digits to digits, at/dot disguises to signs)
 and keeps for each piece of its output the piece of source it came from; the detectors then
 run over the normalised forms and their spans are mapped back. An added span never replaces
-a base span and never lies inside one of its kind. No text is spared the transducers by a
-cheaper look at it, so what is found never depends on unrelated text.
+a base span and never lies inside one of its kind. No text is spared a transducer
+by a look that knows less than it does, so what is found never depends on unrelated text.
 
 Offsets are code points, ends exclusive. A null text is empty. Rows are read one by one, so
 repeated rows and further columns change nothing; an empty table gives no rows. Every
@@ -186,11 +186,16 @@ class _Fold(dict):
 _FOLD = _Fold()
 _INVISIBLE = re.compile(f"[{INVISIBLE}]+")
 _NUMBER = "|".join(sorted(SPELLED, key=len, reverse=True))
-_SPELLED_RUN = re.compile(rf"(?<!\w)(?:(?:plus|\+)[ -]*)?(?:(?:{_NUMBER})(?:[ -]|, |\b(?= (?:{DOT_WORDS}) ))|[0-9]++[ -]?| (?:{DOT_WORDS}) ){{2,}}(?:(?:{_NUMBER})\b|[0-9]+)", re.I)
-_SPELLED_WORD = re.compile(rf"\b(?:{_NUMBER})\b", re.I)
+_SPELLED_RUN = re.compile(rf"(?<!\w)(?:(?:plus|\+)[ -]*)?(?! )(?:(?:{_NUMBER})(?:[ -]|, |\b(?= (?:{DOT_WORDS}) ))|[0-9]++[ -]?| (?:{DOT_WORDS}) ){{1,}}(?:(?:{_NUMBER})\b|[0-9]+)", re.I)
+_SPELLED_WORD = re.compile(rf"(?:(?<![^\W\d])|(?<=plus))(?:{_NUMBER})(?!\w)", re.I)
+_PLUS = re.compile(r"(?:plus|\+)[ -]*", re.I)
+_LOWER_WORD = re.compile(_SPELLED_WORD.pattern)
+# Letters that match "i" and "s" without regard to case.
+_CASELESS = str.maketrans("İıſ", "iis")
 _BRACKETS = re.compile(rf" ?[\[({{<] ?(?:(@|{AT_WORDS})|(\.|{DOT_WORDS})) ?[\])}}>] ?", re.I)
 _DOMAIN_NAME = rf"[A-Za-z0-9-]++(?:(?: (?:{DOT_WORDS}) |\.|_dot_)[A-Za-z0-9-]++)++"
 _AT_SIGN = rf"(?: (?:{AT_WORDS}) | ?@ ?|_at_)"
+_ANY_AT_DOMAIN = re.compile(_AT_SIGN + _DOMAIN_NAME, re.I)
 # What a sign follows at once is a local part and no domain: "me at john.doe@example.com".
 _AT_DOMAIN = re.compile(rf"{_AT_SIGN}{_DOMAIN_NAME}(?![A-Za-z0-9._%+-]*+@[A-Za-z0-9-])", re.I)
 _LAST_AT_DOMAIN = re.compile(rf"{_AT_SIGN}{_DOMAIN_NAME}(?![A-Za-z0-9._%+-]*+{_AT_SIGN}{_DOMAIN_NAME})", re.I)
@@ -205,67 +210,85 @@ _DIGIT = re.compile("[0-9]")
 _STRANGE = re.compile("[^\x00-\x7f\xa1-\xac\xae-\u0130\u0132-\u024f]")
 
 
-def _spells(low: str) -> bool:
-    """Whether a lower-case text has words for digits; the article "un" needs a second one beside it."""
-    words = SPELLED.keys() & set(low.replace("-", " ").replace(",", " ").split())
-    return words > {"un"} or bool(words) and (words != {"un"} or "un un" in low)
+def _has_number_word(text: str) -> bool:
+    """Whether _SPELLED_WORD matches anywhere, sooner found in lower case."""
+    return bool(_LOWER_WORD.search((text if text.isascii() else text.translate(_CASELESS)).lower()))
 
 
-def _spelled(text: str) -> list[tuple[int, int, str]]:
-    """Digits for the words of runs of three or more; the gaps between two words go."""
-    edits = []
-    for run in _SPELLED_RUN.finditer(text):
+def _spelled(text: str) -> list[list[tuple[int, int, str]]]:
+    """Digits for the words of runs, where the gaps between two words go.
+
+    First for runs of three words or more; then, if there are any, also for runs of fewer words
+    and numerals.
+    """
+    few, every = [], []
+    for run in _SPELLED_RUN.finditer(text) if _has_number_word(text) else ():
         words = list(_SPELLED_WORD.finditer(text, *run.span()))
-        if len(words) < 3:
+        if not words or len(words) < 3 and not _DIGIT.search(run[0]):
             continue
-        if run[0][:4].lower() == "plus":
-            edits.append((run.start(), re.compile("[ -]*").match(text, run.start() + 4).end(), "+"))
-        last = None
-        for w in words:
-            if last is not None and text[last : w.start()].strip(" ,-") == "" and last < w.start():
-                edits.append((last, w.start(), ""))
-            edits.append((*w.span(), SPELLED[w[0].lower()]))
-            last = w.end()
-    return edits
-
-
-def _signs(text: str, at_domain: re.Pattern[str]) -> list[tuple[int, int, str]]:
-    """Signs for bare at and dot words, where an address or a number stands around them."""
-    edits = []
-    for m in at_domain.finditer(text):
-        if m.start() == 0 or text[m.start() - 1] not in _LOCAL_CHARS:
-            continue
-        reach = max(0, m.start() - _LOCAL_REACH)
-        if local := _SPELLED_LOCAL.search(text[reach : m.start()]):
-            edits += [(*s.span(), ".") for s in _SIGNS.finditer(text, reach + local.start(), m.start()) if s[1]]
-        edits += [(*s.span(), "." if s[1] else "@") for s in _SIGNS.finditer(text, *m.span())]
-    for m in _PLAIN_IP.finditer(text):
-        edits += [(*s.span(), ".") for s in _DOTS.finditer(text, *m.span()) if s[0] != "."]
-    edits.sort()
-    apart, done = [], 0
-    for e in edits:
-        if e[0] >= done:
-            apart.append(e)
-            done = e[1]
-    return apart
+        edits = []
+        if sign := _PLUS.match(text, run.start()):
+            edits.append((*sign.span(), "+"))
+        for w, after in zip(words, [*words[1:], None], strict=True):
+            edits.append((*w.span(), SPELLED[w[0].translate(_CASELESS).lower()]))
+            if after and w.end() < after.start() and text[w.end() : after.start()].strip(" ,-") == "":
+                edits.append((w.end(), after.start(), ""))
+            elif text.startswith(", ", w.end(), run.end()):
+                edits.append((w.end(), w.end() + 2, " "))
+        every += edits
+        if len(words) >= 3:
+            few += edits
+    return [few] if few == every else [few, every]
+
+
+def _signs(text: str) -> list[list[tuple[int, int, str]]]:
+    """Signs for bare at and dot words, where an address or a number stands around them.
+
+    Of several at words in a row, first the first is read, then, if there are any, the last.
+    """
+    numbers = []
+    for m in _PLAIN_IP.finditer(text) if _DIGIT.search(text) else ():
+        numbers += [(*s.span(), ".") for s in _DOTS.finditer(text, *m.span()) if s[0] != "."]
+    if not _ANY_AT_DOMAIN.search(text):
+        return [numbers]
+    choices = []
+    for at_domain in (_AT_DOMAIN, _LAST_AT_DOMAIN):
+        edits = list(numbers)
+        for m in at_domain.finditer(text):
+            if m.start() == 0 or text[m.start() - 1] not in _LOCAL_CHARS:
+                continue
+            reach = max(0, m.start() - _LOCAL_REACH)
+            if local := _SPELLED_LOCAL.search(text[reach : m.start()]):
+                edits += [(*s.span(), ".") for s in _SIGNS.finditer(text, reach + local.start(), m.start()) if s[1]]
+            edits += [(*s.span(), "." if s[1] else "@") for s in _SIGNS.finditer(text, *m.span())]
+        edits.sort()
+        apart, done = [], 0
+        for e in edits:
+            if e[0] >= done:
+                apart.append(e)
+                done = e[1]
+        if apart not in choices:
+            choices.append(apart)
+    return choices
 
 
 def normalise(text: str) -> list[Tracked]:
     """The forms of the text without disguises, which differ from it and from one another.
 
-    One form leaves bare signs as they are. Of several at words in a row ("me at john.doe at
-    example.com") the first and the last count, each in a form of its own.
+    Numerals with one or two words among them are read in forms of their own, as a word behind a
+    number may not belong to it. One form leaves bare signs as they are; of several at words in a
+    row ("me at john.doe at example.com") the first and the last count, each in its form.
     """
     tracked = Tracked(text)
     if _STRANGE.search(text):
         tracked.text = text.translate(_FOLD)
         tracked = tracked.edit([(*m.span(), "") for m in _INVISIBLE.finditer(tracked.text)])
-    if _spells(tracked.text.lower()):
-        tracked = tracked.edit(_spelled(tracked.text))
-    bare = tracked.edit([(*m.span(), "@" if m[1] else ".") for m in _BRACKETS.finditer(tracked.text)])
     forms = {text: None}
-    for form in (tracked, *(bare.edit(_signs(bare.text, p)) for p in (_AT_DOMAIN, _LAST_AT_DOMAIN))):
-        forms.setdefault(form.text, form)
+    for edits in _spelled(tracked.text):
+        spelled = tracked.edit(edits)
+        bare = spelled.edit([(*m.span(), "@" if m[1] else ".") for m in _BRACKETS.finditer(spelled.text)])
+        for form in (spelled, *(bare.edit(e) for e in _signs(bare.text))):
+            forms.setdefault(form.text, form)
     return [form for form in forms.values() if form is not None]
 
 

@@ -281,6 +281,25 @@ def test_bare_signs_need_no_other_disguise():
         pii.find_all(text)
 
 
+def test_words_among_numerals():
+    cases = {
+        "+49 151 two three 45678": ["+49 151 two three 45678"],
+        "call +49 151 5one, 45678": ["+49 151 5one, 45678"],
+        "card 4111 1111 one one 11 1111": ["4111 1111 one one 11 1111"],
+        "card 411111111111111 one": ["411111111111111 one"],
+        "tel +33 1 un 23 45 67 89": ["+33 1 un 23 45 67 89"],
+        "192 dot 168 dot one dot 10": ["192 dot 168 dot one dot 10"],
+        # A word behind a number may belong to it or not: neither reading hides the other.
+        "+49 151 1234567 one more": ["+49 151 1234567", "+49 151 1234567 one"],
+        "４１１１ １１１１ １１１１ １１１１ one": ["４１１１ １１１１ １１１１ １１１１"],
+        "in 1984 one man, two of 3, \u017fix 5 dot  dot  ": [],
+        "we saw one two": [],
+    }
+    for text, wanted in cases.items():
+        assert [text[s:e] for _, s, e in pii.find_all(text)[1]] == wanted
+    pii.find_all("one dot  " + "dot  " * 20_000)
+
+
 def private_by_force(text):
     found = []
     for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
