@@ -138,6 +138,56 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     or word_chars < 2 * n_words or word_chars > 12 * n_words) as kept
 from counts"""
 
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = f"regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+_OP11 = f"""
+with docs as (select row_number() over () as r, doc_id, {_TERMS} as w from documents),
+totals as (select count(*) filter (len(w) > 0) as docs, sum(len(w)) as terms from docs),
+asked as (select item_id, term, count(*) as times from (select item_id, unnest({_TERMS}) as term from benchmark) group by item_id, term),
+counts as (select r, term, count(*) as tf from (select r, unnest(w) as term from docs) group by r, term),
+weights as (
+  select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as weight from counts, totals group by term, docs),
+lengths as (select r, doc_id, 100 - 75 + ((75 * len(w) * docs) // terms)::bigint as m from docs, totals where len(w) > 0),
+scores as (
+  select item_id, r, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+  from asked join counts using (term) join weights using (term) join lengths using (r) group by item_id, r),
+ranked as (
+  select item_id, row_number() over (partition by item_id order by score desc, doc_id) as rank, doc_id, score
+  from scores join lengths using (r) where score > 0)
+select item_id, rank::int as rank, doc_id, score from ranked where rank <= 10"""
+
+# The CRC-32 of each id's digits, bit by bit.
+_CRC = """xor(list_reduce(list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint), lambda c, b:
+    list_reduce(range(8), lambda x, i: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end, xor(c, b)), 4294967295::bigint), 4294967295::bigint)"""
+
+_OP12 = f"""
+with turns as (
+  select conv_id, turn, left(sha256(strlen(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, '')), 32) as id,
+    length(coalesce(text, '')) as size
+  from conversations where conv_id is not null),
+own as (select conv_id, list(struct_pack(id := id, size := size) order by turn nulls first, id) as w from turns group by conv_id),
+built as (
+  select o.conv_id, coalesce(b.w, [])[1:h] || o.w[h+1:] as w
+  from (select *, {_CRC} % 6 as h from own) o left join own b on b.conv_id = o.conv_id - o.conv_id % 100),
+paths as (
+  select conv_id, list_transform(w, lambda t: t.id) as p, list_transform(w, lambda t: t.size) as sizes,
+    unnest(range(0, len(w) + 1)) as depth from built),
+nodes as (
+  select depth, p[1:depth] as path, min(conv_id) as conv_id, count(*) as n_convs,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (len(p) = depth), '')) as ends_sha256,
+    case when depth = 0 then 0 else min(sizes[depth]) end as size
+  from paths group by depth, p[1:depth]),
+kids as (select depth - 1 as depth, path[1:depth-1] as path, count(*) as n_children from nodes where depth > 0 group by all),
+told as (select n.*, coalesce(n_children, 0) as n_children from nodes n left join kids k on n.depth = k.depth and n.path = k.path),
+above as (select unnest(range(0, depth + 1)) as top, path, n_children, (n_convs - 1) * size as saved from told),
+sums as (
+  select top as depth, path[1:top] as path, count(*) filter (n_children = 0) as n_leaves, sum(saved)::bigint as saved_tokens
+  from above group by top, path[1:top])
+select t.conv_id, t.depth, p.conv_id as parent_conv_id, t.n_convs, t.n_children, s.n_leaves, s.saved_tokens, t.ends_sha256
+from told t join sums s on t.depth = s.depth and t.path = s.path
+left join nodes p on t.depth > 0 and p.depth = t.depth - 1 and p.path = t.path[1:t.depth-1]"""
+
 ORACLE = {
     "op1_secret_scan": _OP1,
     "op4_jaccard_join": _OP4,
@@ -145,4 +195,6 @@ ORACLE = {
     "op7_url_filter": _OP7,
     "op8_chat_format": _OP8,
     "op9_quality_rules": _OP9,
+    "op11_ranked_search": _OP11,
+    "op12_turn_trie": _OP12,
 }

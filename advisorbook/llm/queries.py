@@ -5,7 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from advisorbook.llm import chat, contamination, jaccard, packing, pii, quality, repeats, secrets, token_files, urls
+from advisorbook.llm import (
+    chat, contamination, jaccard, packing, pii, quality, ranked_search, repeats, secrets, simhash, token_files, turn_trie, urls,
+)
 from advisorbook.llm.encoding import public_vocabulary
 from advisorbook.llm.oracle import ORACLE
 from advisorbook.session import cut_lineage, work_path
@@ -65,10 +67,23 @@ def op10_pii(spark: SparkSession, d: str) -> DataFrame:
     return pii.find_private(_table(spark, d, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, d: str) -> DataFrame:
+    return ranked_search.search(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
+
+
+def op12_turn_trie(spark: SparkSession, d: str) -> DataFrame:
+    return turn_trie.conversation_trie(_table(spark, d, "conversations"))
+
+
+def op13_simhash(spark: SparkSession, d: str) -> DataFrame:
+    return simhash.near_components(_table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     run.__name__: run
     for run in (
         op1_secret_scan, op2_suffix_dedup, op3_token_files, op4_jaccard_join, op5_packing, op6_decontamination,
-        op7_url_filter, op8_chat_format, op9_quality_rules, op10_pii,
+        op7_url_filter, op8_chat_format, op9_quality_rules, op10_pii, op11_ranked_search, op12_turn_trie,
+        op13_simhash,
     )
 }
