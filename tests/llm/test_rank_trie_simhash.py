@@ -204,7 +204,7 @@ def simhash_by_force(rows):
     return sorted([(d, f"{p:016x}", least[find(p)]) for (d, _), p in zip(rows, prints, strict=True)], key=repr)
 
 
-@pytest.mark.parametrize("trie_leaves", [simhash.TRIE_LEAVES, 3])
+@pytest.mark.parametrize("trie_leaves", [simhash.TRIE_LEAVES, 25])
 def test_simhash_by_force(spark, trie_leaves):
     rng = random.Random(4)
     words = [f"Wort{k}" for k in range(200)] + [" ", "\x1c", "é"]
