@@ -67,6 +67,29 @@ def upsert_latest(
     return latest_per_key(both, keys, [version, "_incoming", *tiebreak]).drop("_incoming")
 
 
+def version_changes(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    version: str,
+    tiebreak: Sequence[str] = (),
+) -> DataFrame:
+    """What ``upsert_latest`` does to each key: its other columns ``before`` (NULL: none) and ``after``.
+
+    Both sides hold a key once and have the same columns.
+    """
+    leading = [version, "_incoming", *(c for c in tiebreak if c not in keys)]
+    data = [c for c in target.columns if c not in keys]
+    rest = [c for c in data if c not in leading]
+    both = target.withColumn("_incoming", F.lit(0)).unionByName(source.withColumn("_incoming", F.lit(1)))
+    found = both.groupBy(*keys).agg(
+        F.max(F.when(F.col("_incoming") == 0, F.struct(*data))).alias("before"),
+        F.max(F.struct(*leading, *rest)).alias("_newest"),
+    )
+    after = F.struct(*[F.col("_newest")[c].alias(c) for c in data])
+    return found.select(*keys, "before", after.alias("after"))
+
+
 def upsert_versions(
     target: DataFrame, source: DataFrame, keys: Sequence[str], tiebreak: Sequence[str] = ()
 ) -> DataFrame:

@@ -85,7 +85,14 @@ def monthly_kpis(
     if as_of is not None:
         staged = staged.filter(F.col("portfolio_date") <= F.lit(as_of))
 
-    totals = month_end_entries(staged, money).groupingSets(
+    entries = month_end_entries(staged, money)
+    totals = position_totals(entries, F.sum("ending_balance"), F.count(F.lit(1)))
+    return kpis_of_totals(totals, products, threshold, stamp)
+
+
+def position_totals(positions: DataFrame, aum: Column, count: Column) -> DataFrame:
+    """Money and positions once per customer and once per product of each agent and month."""
+    return positions.groupingSets(
         [
             ["agent_id", "month_start_date", "customer_id"],
             ["agent_id", "month_start_date", "product_id"],
@@ -95,10 +102,19 @@ def monthly_kpis(
         "customer_id",
         "product_id",
     ).agg(
-        F.sum("ending_balance").alias("aum"),
-        F.count(F.lit(1)).alias("positions"),
+        aum.alias("aum"),
+        count.alias("positions"),
         F.grouping("customer_id").alias("is_product_total"),
     )
+
+
+def kpis_of_totals(
+    totals: DataFrame,
+    products: DataFrame,
+    threshold: int = fv.CORE_CUSTOMER_THRESHOLD,
+    stamp: Column | None = None,
+) -> DataFrame:
+    """The fact's rows from the totals per customer and per product."""
     buckets = products.select(
         F.col("product_id").alias("_product_id"), F.col("asset_class_bucket").alias("bucket")
     )

@@ -46,8 +46,12 @@ def stage_portfolio(
     deleted: ``is_active_entry`` is NULL then. Pass ``columns=KPI_INPUTS`` where only KPIs
     are wanted; the output then holds just what they need.
     """
-    latest = latest_entries(raw, columns, tiebreak)
-    wanted = set(columns or raw.columns)
+    return stage_latest(latest_entries(raw, columns, tiebreak), columns or raw.columns)
+
+
+def stage_latest(latest: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+    """Entries that hold each id once already, on the business clock."""
+    wanted = set(columns or latest.columns)
     day = business_date(F.col("date"))
     staged = [
         ("id", F.col("id").alias("portfolio_id")),

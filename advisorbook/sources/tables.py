@@ -26,6 +26,12 @@ def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -
     df.write.mode("overwrite").partitionBy(*partition_by).format("parquet").saveAsTable(table)
 
 
+def create_partitioned(spark: SparkSession, table: str, schema: StructType, partition: str) -> None:
+    """An empty table, so that later steps only replace partitions."""
+    empty = spark.createDataFrame([], schema)
+    empty.write.partitionBy(partition).format("parquet").saveAsTable(table)
+
+
 def add_new_columns(spark: SparkSession, table: str, incoming: StructType) -> None:
     """Add the columns the table lacks; older rows read them as NULL, no file is rewritten."""
     existing = table_schema(spark, table)

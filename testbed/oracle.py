@@ -477,6 +477,7 @@ from (select *, row_number() over (
         as both_sides) as placed
 where place = 1""",
     ),
+    "maintained_monthly_kpis": _with(FACT, "select * from kpi"),
     "rerun_drift": _with(
         FACT,
         "select count(*) as rows_after,"

@@ -19,7 +19,6 @@ from advisorbook.operators.drift import union_with_drift
 from advisorbook.operators.incremental import (
     after,
     upsert,
-    upsert_latest,
     upsert_versions,
     watermark,
 )
@@ -28,6 +27,7 @@ from advisorbook.operators.profiling import detect_business_key, profile_columns
 from advisorbook.operators.ranking import rank_in_group
 from advisorbook.operators.reconcile import rerun_drift, split_differences, stack_totals
 from advisorbook.plans import kpis as kpi_plans
+from advisorbook.plans.changes import MaintainedFact
 from advisorbook.plans.dimensions import agent_activity, dim_agent, dim_customer, dim_product
 from advisorbook.plans.ingest import load_metrics, rebuild_history
 from advisorbook.plans.performance import (
@@ -37,12 +37,15 @@ from advisorbook.plans.performance import (
 )
 from advisorbook.plans.staging import (
     KPI_INPUTS,
+    TIEBREAK,
     is_active,
     stage_customers,
     stage_portfolio,
     stage_products,
 )
 from advisorbook.session import cut_lineage, work_path
+from advisorbook.sources.change_log import StagedChange
+from advisorbook.sources.latest_table import LatestTable
 from advisorbook.sources.snapshots import FROM_FOLDER
 from advisorbook.sources.tables import append_table, create_database
 from testbed import tables as tb
@@ -343,17 +346,44 @@ def merge_history(spark: SparkSession, d: str) -> DataFrame:
     return upsert_versions(target, source, ["id", "snapshot_date"], ["l_partkey", "l_suppkey"])
 
 
+def _database(spark: SparkSession, name: str) -> tuple[str, str]:
+    """A fresh database for the tables of one query, and its folder."""
+    folder = work_path(spark, name)
+    database = folder.rsplit("/", 1)[1].replace("-", "_")
+    create_database(spark, database, f"{folder}/tables")
+    return database, folder
+
+
 @query("merge_latest_guarded")
 def merge_latest_guarded(spark: SparkSession, d: str) -> DataFrame:
     """The newer snapshots are loaded first, then the older ones, one year of them twice."""
     lines = _snapshots(spark, d)
-    tiebreak = ["l_partkey", "l_suppkey"]
     newer = lines.filter(F.col("snapshot_date") >= _date("1998-01-01"))
-    target = latest_per_key(newer, ["id"], ["snapshot_date", *tiebreak])
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
-    older = lines.filter(F.col("snapshot_date") < _date("1999-01-01"))
-    source = older.withColumn("l_extendedprice", net)
-    return upsert_latest(target, source, ["id"], "snapshot_date", tiebreak)
+    older = lines.filter(F.col("snapshot_date") < _date("1999-01-01")).withColumn("l_extendedprice", net)
+    database, _ = _database(spark, "latest")
+    for source in (newer, older):
+        table = LatestTable(spark, f"{database}.latest", ["id"], "snapshot_date", ["l_partkey", "l_suppkey"], buckets=8)
+        change = StagedChange(spark, f"{database}.log")
+        table.merge(source, change)
+        change.commit()
+    return table.rows()
+
+
+@query("maintained_monthly_kpis")
+def maintained_monthly_kpis(spark: SparkSession, d: str) -> DataFrame:
+    """The fact after four increments of the history, the newest first and the oldest last but one."""
+    history, products = tb.history(spark, d).select(*KPI_INPUTS, "updated_at", "snapshot_date", "ingested_at"), _products(spark, d)
+    database, _ = _database(spark, "maintained")
+    year = F.year("snapshot_date")
+    for increment in (year >= 2000, year.between(1997, 1998), year < 1997, year == 1999):
+        change = StagedChange(spark, f"{database}.log")
+        latest = LatestTable(spark, f"{database}.latest", ["id"], "ingested_at", TIEBREAK, buckets=8)
+        feed = latest.merge(history.filter(increment), change)
+        fact = MaintainedFact(spark, f"{database}.entries", f"{database}.totals", f"{database}.fact", tb.THRESHOLD)
+        fact.apply(feed, products, change)
+        change.commit()
+    return spark.table(f"{database}.fact")
 
 
 @query("rerun_drift")

@@ -160,6 +160,46 @@ def test_late_rows_inside_and_outside_the_lookback(spark, world):
     assert totals(spark)[(1, 1)] == 400e6
 
 
+def test_runs_by_changes_equal_a_full_refresh_in_any_order(spark, world):
+    folder, settings = world
+    late = (folder / "snapshots" / "hist_2026-01-26.csv").rename(folder / "late.csv")
+    daily.run_daily(spark, settings(by_changes=True))
+    add_snapshot(
+        folder,
+        "hist_2026-04-10.csv",
+        [
+            entry(1, "2026-01-05", 20_000_000, agent=2),
+            entry(3, "2026-02-10", 90_000_000, agent=2, customer=11, product=6, is_deleted="True"),
+            entry(8, "2026-01-31", 250_000_000, product=2),
+        ],
+    )
+    daily.run_daily(spark, settings(by_changes=True))
+    files = set(spark.table(daily.RAW_HISTORY).inputFiles())
+    late.rename(folder / "snapshots" / "hist_2026-01-26.csv")
+    daily.run_daily(spark, settings(by_changes=True))
+    assert files < set(spark.table(daily.RAW_HISTORY).inputFiles())
+
+    def tables():
+        names = (daily.FACT, daily.DIM_AGENT, daily.RAW_LATEST, daily.REPORT, daily.RAW_HISTORY)
+        frames = [spark.table(n) for n in names]
+        return [rows_of(f, *sorted(c for c in f.columns if c not in ("updated_at", "_bucket"))) for f in frames]
+
+    kept = tables()
+    assert totals(spark) == {(2, 1): 90e6, (1, 1): 250e6, (1, 4): 10e6}
+    daily.run_daily(spark, settings(full_refresh=True))
+    assert tables() == kept
+
+
+def test_corrected_files_are_loaded_when_named(spark, world):
+    folder, settings = world
+    daily.run_daily(spark, settings(by_changes=True))
+    add_snapshot(folder, "hist_20260401.csv", [entry(4, "2026-04-01", 30_000_000)])
+    daily.run_daily(spark, settings(by_changes=True))
+    assert totals(spark)[(1, 4)] == 10e6
+    daily.run_daily(spark, settings(by_changes=True, reload_dates=(dt.date(2026, 4, 1),)))
+    assert totals(spark)[(1, 4)] == 30e6 and totals(spark)[(2, 2)] == 90e6
+
+
 def test_a_fault_in_the_data_fails_the_run(spark, world):
     folder, settings = world
     add_snapshot(folder, "hist_2026-04-02.csv", [entry(7, "2026-04-01", 5, product=99)])
