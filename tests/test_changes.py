@@ -44,7 +44,8 @@ def load(spark, database, rows, columns=COLUMNS):
 
 
 def files_of(spark, table):
-    return {Path(f).name: Path(f).parent.name for f in spark.table(table).inputFiles()}
+    """Partition and name of each file."""
+    return {Path(f).parts[-2:] for f in spark.table(table).inputFiles()}
 
 
 def test_latest_rows_whatever_the_order_of_loading(spark, database):
@@ -63,8 +64,8 @@ def test_only_touched_buckets_are_read_and_written(spark, database):
     before = files_of(spark, f"{database}.latest")
     assert load(spark, database, [(7, day(6), "b")]) == 1
     after = files_of(spark, f"{database}.latest")
-    changed = {before[f] for f in before.keys() - after.keys()}
-    assert len(changed) == 1 and {after[f] for f in after.keys() - before.keys()} == changed
+    changed = {bucket for bucket, _ in before - after}
+    assert len(changed) == 1 and {bucket for bucket, _ in after - before} == changed
     some = LatestTable(spark, f"{database}.latest", ["id"], "day").rows([1, 2])
     plan = some._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [_bucket" in plan.replace("isnotnull(_bucket), ", "") and set(
@@ -175,8 +176,8 @@ def test_months_without_a_change_are_left_and_emptied_months_go(spark, database)
 
     first = step([{"id": 1}, {"id": 2, "date": "2026-02-05"}, {"id": 3, "date": "2026-03-05", "product_id": 3}])
     second = step([{"id": 2, "date": "2026-02-05", "is_deleted": True, "snapshot": "2026-01-20"}])
-    assert sorted(second.values()) == ["month_start_date=2026-01-01", "month_start_date=2026-03-01"]
-    assert second.items() <= first.items()
+    assert {month for month, _ in second} == {"month_start_date=2026-01-01", "month_start_date=2026-03-01"}
+    assert second <= first
     # A product in another bucket folds its months again, without any changed entry.
     moved = products(spark).withColumn("asset_class_bucket", F.lit("fixed_income"))
     step([], moved, spark.createDataFrame([(1,)], "product_id LONG"))
