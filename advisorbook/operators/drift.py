@@ -1,10 +1,51 @@
-"""Additive schema drift: new columns appear, none are dropped or renamed."""
+"""Additive schema drift: new columns appear, none are dropped or renamed, types only widen."""
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import BooleanType, DataType, DoubleType, LongType, StringType, StructType
+
+# Kinds of values a text column holds, as bits, so that states of parts unite by OR.
+_LONG, _DOUBLE, _BOOLEAN, _TEXT = 1, 2, 4, 8
+
+
+def kinds_of(text: Column) -> Column:
+    """Aggregate: the kinds of values of a text column; NULL where it has none.
+
+    States of files, tasks and loads unite by OR, so one pass over all of them is enough.
+    """
+    kind = (
+        F.when(text.try_cast("bigint").isNotNull(), _LONG)
+        .when(text.try_cast("double").isNotNull(), _DOUBLE)
+        .when(F.lower(text).isin("true", "false"), _BOOLEAN)
+        .otherwise(_TEXT)
+    )
+    return F.bit_or(F.when(text.isNotNull(), kind))
+
+
+def type_of_kinds(kinds: int | None) -> DataType | None:
+    """BIGINT, DOUBLE or BOOLEAN where every value fits, else text; None without values."""
+    if not kinds:
+        return None
+    if kinds & ~(_LONG | _DOUBLE) == 0:
+        return DoubleType() if kinds & _DOUBLE else LongType()
+    return BooleanType() if kinds == _BOOLEAN else StringType()
+
+
+def widened(column: str, known: DataType | None, found: DataType | None) -> DataType | None:
+    """The type that holds both; a column without values (None) takes any.
+
+    BIGINT widens to DOUBLE, and text holds whatever comes later. Text in a column of numbers or
+    flags fails, as do flags among numbers.
+    """
+    if known is None or found is None or known == found:
+        return found if known is None else known
+    if {known, found} == {LongType(), DoubleType()}:
+        return DoubleType()
+    if known == StringType():
+        return known
+    raise ValueError(f"Column type changed: {column}: {known.simpleString()} -> {found.simpleString()}")
 
 
 def new_columns(existing: StructType, incoming: StructType) -> dict[str, DataType]:

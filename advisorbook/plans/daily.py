@@ -28,11 +28,12 @@ from advisorbook.session import cut_lineage
 from advisorbook.sources.change_log import StagedChange, notes, recover
 from advisorbook.sources.latest_table import BUCKETS, LatestTable
 from advisorbook.sources.snapshots import list_snapshots
-from advisorbook.sources.tables import create_database, merge_table, replace_table
+from advisorbook.sources.tables import create_database, merge_table, read_table, replace_table
 
 RAW_HISTORY = "raw.portfolio_histories"
 RAW_LATEST = "raw.portfolio_latest"
 LOAD_LOG = "raw.load_log"
+HEADS = "raw.snapshot_heads"
 RAW_CUSTOMERS = "raw.customers"
 RAW_PRODUCTS = "raw.products"
 DIM_AGENT = "marts.dim_agent"
@@ -98,16 +99,16 @@ def load_history(spark: SparkSession, settings: Settings) -> tuple[DataFrame, li
     if settings.full_refresh or not all(map(spark.catalog.tableExists, needed)):
         for table in (RAW_LATEST, LOAD_LOG, MONTH_ENTRIES, MONTH_TOTALS, FACT_PRODUCTS, *([FACT] if settings.by_changes else [])):
             spark.sql(f"DROP TABLE IF EXISTS {table}")
-        metrics = rebuild_history(spark, settings.snapshot_folder, RAW_HISTORY)
+        metrics = rebuild_history(spark, settings.snapshot_folder, RAW_HISTORY, heads=HEADS)
         loaded = [r[0].isoformat() for r in metrics.select(SNAPSHOT_DATE).collect()]
-        return spark.table(RAW_HISTORY), loaded, metrics
+        return read_table(spark, RAW_HISTORY), loaded, metrics
     files = list_snapshots(spark, settings.snapshot_folder)
     known = notes(spark, LOAD_LOG)
     dates = [r[0] for r in files.select(SNAPSHOT_DATE).distinct().collect()]
     dates = sorted(d for d in dates if d.isoformat() not in known or d in settings.reload_dates)
     if dates:
-        load_new_dates(spark, settings.snapshot_folder, RAW_HISTORY, dates)
-    history = spark.table(RAW_HISTORY)
+        load_new_dates(spark, settings.snapshot_folder, RAW_HISTORY, dates, heads=HEADS)
+    history = read_table(spark, RAW_HISTORY)
     return history.filter(F.col(SNAPSHOT_DATE).isin(dates)), [d.isoformat() for d in dates], load_metrics(history, files)
 
 
@@ -178,7 +179,7 @@ def run_daily(spark: SparkSession, settings: Settings) -> dict:
     report = monthly_performance(spark.table(FACT), spark.table(DIM_AGENT))
     report.createOrReplaceTempView(REPORT)
     checks = standard_report(
-        history=spark.table(RAW_HISTORY),
+        history=read_table(spark, RAW_HISTORY),
         staged=entries,
         products=spark.table(DIM_PRODUCT),
         customers=spark.table(DIM_CUSTOMER),

@@ -9,7 +9,7 @@ from pyspark.sql.types import DataType
 from advisorbook.contracts import PORTFOLIO_HISTORY, SNAPSHOT_DATE
 from advisorbook.operators.checks import require_rows
 from advisorbook.sources.snapshots import FROM_FILE, list_snapshots, read_master, read_snapshots
-from advisorbook.sources.tables import add_new_columns, replace_partitions, replace_table
+from advisorbook.sources.tables import add_new_columns, as_stored, column_types, replace_partitions, replace_table
 
 
 def rebuild_history(
@@ -19,13 +19,14 @@ def rebuild_history(
     contract: Mapping[str, DataType] = PORTFOLIO_HISTORY,
     glob: str = "*.csv",
     date_from: str = FROM_FILE,
+    heads: str | None = None,
 ) -> DataFrame:
     """Drop the history and load every snapshot in the folder. Returns the load metrics.
 
     Each task writes straight into the partition of its file's date: no shuffle.
     """
     files = list_snapshots(spark, folder, glob, date_from)
-    rows = read_snapshots(spark, files, contract)
+    rows = read_snapshots(spark, files, contract, heads=heads)
     if rows is None:
         raise ValueError(f"No snapshot rows in {folder}")
     replace_table(rows, table, [SNAPSHOT_DATE])
@@ -42,17 +43,20 @@ def load_new_dates(
     contract: Mapping[str, DataType] = PORTFOLIO_HISTORY,
     glob: str = "*.csv",
     date_from: str = FROM_FILE,
+    heads: str | None = None,
 ) -> None:
     """Load all files of the given snapshot dates, replacing what the table has for them.
 
-    Loading a date twice gives the same table.
+    Loading a date twice gives the same table. A column whose type widens is read at the wider
+    type by ``read_table``; no older file is rewritten.
     """
     files = list_snapshots(spark, folder, glob, date_from)
     chosen = files.filter(F.col(SNAPSHOT_DATE).isin(list(dates)))
-    rows = read_snapshots(spark, chosen, contract)
+    rows = read_snapshots(spark, chosen, contract, stored=column_types(spark, table), heads=heads)
     if rows is None:
         return
     if spark.catalog.tableExists(table):
+        rows = as_stored(rows, table)
         add_new_columns(spark, table, rows.schema)
         replace_partitions(rows, table)
     else:

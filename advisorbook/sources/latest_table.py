@@ -11,7 +11,7 @@ from advisorbook.operators.incremental import version_changes
 from advisorbook.operators.latest import latest_per_key
 from advisorbook.session import cut_lineage
 from advisorbook.sources.change_log import StagedChange, partition_is
-from advisorbook.sources.tables import add_new_columns, create_partitioned, table_schema
+from advisorbook.sources.tables import add_new_columns, as_stored, create_partitioned, read_table, table_schema
 
 BUCKET = "_bucket"
 BUCKETS = 64
@@ -44,7 +44,7 @@ class LatestTable:
 
     def rows(self, buckets: Sequence[int] | None = None) -> DataFrame:
         """The table, or some of its buckets."""
-        table = self.spark.table(self.name)
+        table = read_table(self.spark, self.name)
         return (table if buckets is None else table.filter(partition_is(BUCKET, buckets))).drop(BUCKET)
 
     def _create(self, schema: StructType) -> None:
@@ -60,6 +60,7 @@ class LatestTable:
         """
         if not self.spark.catalog.tableExists(self.name):
             self._create(source.schema)
+        source = as_stored(source, self.name)
         add_new_columns(self.spark, self.name, source.schema)
         schema = StructType([f for f in table_schema(self.spark, self.name) if f.name != BUCKET])
         newest = latest_per_key(align(source, schema), self.keys, [self.version, *self.tiebreak])

@@ -3,17 +3,15 @@
 import csv
 import logging
 from collections import defaultdict
-from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    BooleanType,
     DataType,
-    DoubleType,
-    LongType,
     StringType,
     StructField,
     StructType,
@@ -22,7 +20,9 @@ from pyspark.sql.types import (
 from advisorbook.contracts import INGESTED_AT, SNAPSHOT_DATE
 from advisorbook.functions.dates import date_from_name
 from advisorbook.functions.text import null_tokens, strip
-from advisorbook.operators.drift import union_with_drift
+from advisorbook.operators.drift import kinds_of, type_of_kinds, union_with_drift, widened
+from advisorbook.session import cut_lineage
+from advisorbook.sources.tables import UNTYPED, setting
 
 log = logging.getLogger(__name__)
 
@@ -30,7 +30,7 @@ log = logging.getLogger(__name__)
 # (a snapshot written as many part files).
 FROM_FILE, FROM_FOLDER = "file", "folder"
 _PATH_STEP = {FROM_FILE: -1, FROM_FOLDER: -2}
-_HEADER_READERS = 8
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def _snapshot_date(path: Column, date_from: str) -> Column:
@@ -47,16 +47,61 @@ def list_snapshots(
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
     if date_from == FROM_FOLDER:
         reader = reader.option("recursiveFileLookup", True)
-    files = reader.load(folder).select("path", "length", F.col("_metadata.file_path").alias("uri"))
-    return files.withColumn(SNAPSHOT_DATE, _snapshot_date(F.col("path"), date_from))
+    files = reader.load(folder).select("path", "length", "modificationTime", F.col("_metadata.file_path").alias("uri"))
+    return files.withColumns({SNAPSHOT_DATE: _snapshot_date(F.col("path"), date_from), "date_from": F.lit(date_from)})
 
 
 def read_header(spark: SparkSession, path: str) -> tuple[str, ...]:
     """Column names of one CSV as they stand in its first line."""
     first = spark.read.text(path).first()
-    if first is None:
-        return ()
-    return tuple(next(csv.reader([first["value"].lstrip("﻿")])))
+    return () if first is None else parse_header(first["value"])
+
+
+def parse_header(line: str) -> tuple[str, ...]:
+    return tuple(next(csv.reader([line.lstrip("﻿")])))
+
+
+def _first_row(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row, if it opens its file; what is left of the split is not read."""
+    for batch in batches:
+        if batch.num_rows:
+            if batch.column(2)[0].as_py() == 0:
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(0, 1), batch.column(1).slice(0, 1)], ["uri", "line"])
+            return
+
+
+def first_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """uri and first line of each file, in one job; empty files have none.
+
+    Each file is split on its own and each split ends after its first rows.
+    """
+    if not paths:
+        return spark.createDataFrame([], "uri STRING, line STRING")
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    with setting(spark, "spark.sql.files.openCostInBytes", split), setting(spark, _ARROW_ROWS, "10"):
+        rows = spark.read.text(list(paths)).select("_metadata.file_path", "value", "_metadata.file_block_start")
+        return cut_lineage(rows.mapInArrow(_first_row, "uri STRING, line STRING"), "first-lines")
+
+
+def read_heads(spark: SparkSession, files: DataFrame, catalog: str | None = None) -> DataFrame:
+    """The listed files with their first ``line``, NULL for an empty file.
+
+    With a table ``catalog`` lines are kept there by path and modification time, and only files
+    it does not know are opened.
+    """
+    listed = cut_lineage(files, "listed-files")
+    at = ["path", "modificationTime"]
+    unseen, seen = listed, None
+    if catalog is not None and spark.catalog.tableExists(catalog):
+        known = spark.table(catalog).select(*at, "line").dropDuplicates(at)
+        unseen = listed.join(known, at, "left_anti")
+        seen = cut_lineage(listed.join(known, at), "known-heads")
+    # Spark's own listing of a folder holds the paths on the driver too.
+    lines = first_lines(spark, [r["path"] for r in unseen.select("path").collect()])
+    heads = cut_lineage(unseen.join(lines, "uri", "left"), "heads")
+    if catalog is not None and not heads.isEmpty():
+        heads.select(*at, "line").write.mode("append").format("parquet").saveAsTable(catalog)
+    return heads if seen is None else heads.unionByName(seen)
 
 
 def trimmed_names(header: Sequence[str], path: str) -> list[str]:
@@ -107,25 +152,36 @@ def infer_types(df: DataFrame, columns: Sequence[str]) -> dict[str, DataType]:
     """BIGINT, DOUBLE or BOOLEAN where every value fits, else text. One pass, one row out."""
     if not columns:
         return {}
-    tests = {}
-    for i, c in enumerate(columns):
-        text = F.col(f"`{c}`")
-        tests[f"{i}_long"] = F.bool_and(text.try_cast("bigint").isNotNull() | text.isNull())
-        tests[f"{i}_double"] = F.bool_and(text.try_cast("double").isNotNull() | text.isNull())
-        tests[f"{i}_bool"] = F.bool_and(F.lower(text).isin("true", "false") | text.isNull())
-        tests[f"{i}_any"] = F.count(text) > 0
-    found = df.agg(*[test.alias(name) for name, test in tests.items()]).first()
-    types: dict[str, DataType] = {}
-    for i, c in enumerate(columns):
-        types[c] = StringType()
-        if found[f"{i}_any"]:
-            if found[f"{i}_long"]:
-                types[c] = LongType()
-            elif found[f"{i}_double"]:
-                types[c] = DoubleType()
-            elif found[f"{i}_bool"]:
-                types[c] = BooleanType()
-    return types
+    found = df.agg(*[kinds_of(F.col(f"`{c}`")).alias(str(i)) for i, c in enumerate(columns)]).first()
+    return {c: type_of_kinds(found[i]) or StringType() for i, c in enumerate(columns)}
+
+
+def drifted_types(
+    groups: Sequence[tuple[DataFrame, Sequence[str]]], stored: Mapping[str, DataType | None]
+) -> tuple[dict[str, DataType | None], list[bool]]:
+    """Types of columns outside the contract, over files of several headers and what is stored.
+
+    ``groups``, in the order of their dates, are texts and their drifted columns. One aggregation over
+    all of them; a row per group and column comes back. Also tells which groups have rows.
+    """
+    states = [
+        df.agg(F.count(F.lit(1)).alias("n"), *[kinds_of(F.col(f"`{c}`")).cast("int").alias(f"k{i}") for i, c in enumerate(columns)])
+        .select(
+            F.lit(g).alias("group"), "n",
+            F.posexplode(F.array(F.lit(None).cast("int"), *[F.col(f"k{i}") for i in range(len(columns))])).alias("at", "kinds"),
+        )
+        for g, (df, columns) in enumerate(groups)
+    ]
+    if not states:
+        return {}, []
+    rows = reduce(DataFrame.unionByName, states).collect()
+    filled = [any(r["group"] == g and r["n"] for r in rows) for g in range(len(groups))]
+    types: dict[str, DataType | None] = {}
+    for r in sorted(rows, key=lambda r: (r["group"], r["at"])):
+        if r["at"] and filled[r["group"]]:
+            column = groups[r["group"]][1][r["at"] - 1]
+            types[column] = widened(column, types.get(column, stored.get(column)), type_of_kinds(r["kinds"]))
+    return types, filled
 
 
 def _with_types(df: DataFrame, names: Sequence[str], contract: Mapping[str, DataType]) -> DataFrame:
@@ -151,43 +207,48 @@ def read_snapshots(
     files: DataFrame,
     contract: Mapping[str, DataType],
     multi_line: bool = False,
+    stored: Mapping[str, DataType | None] | None = None,
+    heads: str | None = None,
 ) -> DataFrame | None:
     """All rows of the listed snapshot files, with snapshot date and ingestion time.
 
     Files are grouped by header and each group is one scan. A column some files lack is
     NULL for their rows. A group without rows is skipped, its new columns too. Returns None
-    when no file has rows. The driver sees file names and header lines, never rows. Dates are
-    parsed once per file and reach the rows by a broadcast of the file list the driver holds.
+    when no file has rows. Columns outside the contract take the type that holds their values in
+    all files and in ``stored``, the types of the table they go to; one without any value is text
+    and marked. The number of jobs does not depend on that of files or headers. The driver sees
+    file names and distinct header lines, never rows. ``heads`` names a table of known first lines.
     """
-    listed = files.select("path", "uri", SNAPSHOT_DATE).orderBy(SNAPSHOT_DATE, "path").collect()
-    paths = [r["path"] for r in listed]
-    dates = spark.createDataFrame(
-        [(r["uri"], r[SNAPSHOT_DATE]) for r in listed], f"_uri STRING, {SNAPSHOT_DATE} DATE"
-    )
-    with ThreadPoolExecutor(_HEADER_READERS) as pool:
-        headers = list(pool.map(lambda p: read_header(spark, p), paths))
+    listed = read_heads(spark, files, heads).filter(F.col("line").isNotNull())
+    found = listed.groupBy("line", "date_from").agg(F.min(SNAPSHOT_DATE).alias("first"), F.sort_array(F.collect_list("path")).alias("paths"))
+    found = sorted(found.collect(), key=lambda r: (r["first"], r["paths"][0]))
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path, header in zip(paths, headers):
-        if header:
-            groups[header].append(path)
-    frames = []
+    for row in found:
+        if header := parse_header(row["line"]):
+            groups[header] += row["paths"]
+    read, texts = [], []
     for header, members in groups.items():
         names = trimmed_names(header, members[0])
-        text = read_text_columns(spark, members, names, multi_line)
-        drifted = [c for c in names if c not in contract]
-        if drifted and text.isEmpty():
-            log.warning("No rows in %s; skipped", members)
+        read.append(names)
+        texts.append(read_text_columns(spark, members, names, multi_line))
+    drifted = [[c for c in names if c not in contract] for names in read]
+    some = [k for k, columns in enumerate(drifted) if columns]
+    types, filled = drifted_types([(texts[k], drifted[k]) for k in some], stored or {})
+    empty = {k for k, has_rows in zip(some, filled, strict=True) if not has_rows}
+    frames = []
+    for k, (names, text) in enumerate(zip(read, texts, strict=True)):
+        if k in empty:
+            log.warning("No rows under the header %s; skipped", names)
             continue
-        rows = _with_types(text, names, contract)
-        dated = rows.join(F.broadcast(dates), F.col("_path") == F.col("_uri"), "left")
-        unlisted = F.raise_error(F.concat(F.lit("File is not in the list: "), F.col("_path")))
-        day = F.coalesce(SNAPSHOT_DATE, unlisted)
-        frames.append(
-            dated.withColumn(SNAPSHOT_DATE, day)
-            .withColumn(INGESTED_AT, F.col(SNAPSHOT_DATE).cast("timestamp_ntz"))
-            .drop("_path", "_uri")
-        )
-    return union_with_drift(frames) if frames else None
+        kinds = {**{c: t or StringType() for c, t in types.items()}, **contract}
+        path = F.url_decode(F.replace(F.col("_path"), F.lit("+"), F.lit("%2B")))
+        rows = text.select(*[typed(c, kinds[c]) for c in names], _snapshot_date(path, found[0]["date_from"]).alias(SNAPSHOT_DATE))
+        frames.append(rows.withColumn(INGESTED_AT, F.col(SNAPSHOT_DATE).cast("timestamp_ntz")))
+    if not frames:
+        return None
+    untyped = {"comment": UNTYPED}
+    whole = union_with_drift(frames)
+    return whole.select(*[F.col(f"`{c}`").alias(c, metadata=untyped) if c in types and types[c] is None else F.col(f"`{c}`") for c in whole.columns])
 
 
 def read_master(

@@ -3,15 +3,69 @@
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, DataType, DoubleType, LongType, StringType, StructType
 
 from advisorbook.operators.drift import align, check_types, new_columns
 from advisorbook.operators.incremental import upsert
 from advisorbook.session import cut_lineage
 
 
+# Comment of a stored column that has had no value yet, so any type may still come.
+UNTYPED = "no value yet"
+# A column whose type widened stands in the table once per type, the later ones under these names; old files
+# keep what they hold.
+_WIDER = {f"__{t.simpleString()}": t for t in (LongType(), BooleanType(), DoubleType(), StringType())}
+
+
+def _stored_types(schema: StructType) -> dict[str, dict[DataType, str]]:
+    """Per column, its stored forms in the order in which they came; an untyped one has the type None."""
+    names, forms = set(schema.names), {}
+    for f in schema:
+        base, mark, kind = f.name.rpartition("__")
+        if mark and base in names and _WIDER.get(mark + kind) == f.dataType:
+            forms.setdefault(base, {})[f.dataType] = f.name
+        else:
+            untyped = f.metadata.get("comment") == UNTYPED
+            forms[f.name] = {None if untyped else f.dataType: f.name} | forms.get(f.name, {})
+    return forms
+
+
+def column_types(spark: SparkSession, table: str) -> dict[str, DataType | None]:
+    """The type of each column as ``read_table`` gives it; None where no value has come yet."""
+    forms = _stored_types(table_schema(spark, table))
+    return {c: next((t for t in reversed(_WIDER.values()) if len(f) > 1 and t in f), next(iter(f))) for c, f in forms.items()}
+
+
+def read_table(spark: SparkSession, table: str) -> DataFrame:
+    """The table with each column once, at its widest type. Filters still reach the files."""
+    forms, types = _stored_types(table_schema(spark, table)), column_types(spark, table)
+    if all(len(f) == 1 for f in forms.values()):
+        return spark.table(table)
+
+    def whole(column: str) -> Column:
+        parts = [F.col(f"`{n}`").cast(types[column]) for n in forms[column].values()]
+        return (F.coalesce(*parts) if len(parts) > 1 else F.col(f"`{column}`")).alias(column)
+
+    return spark.table(table).select(*[whole(c) for c in forms])
+
+
+def as_stored(df: DataFrame, table: str) -> DataFrame:
+    """``df``, whose types hold those of the table, with each column under the name of its type there."""
+    spark = df.sparkSession
+    forms, names = _stored_types(table_schema(spark, table)), {}
+    for f in df.schema:
+        stored = forms.get(f.name)
+        if stored is None or f.dataType in stored or f.metadata.get("comment") == UNTYPED:
+            names[f.name] = f.name if stored is None else stored.get(f.dataType, f.name)
+        elif None in stored and f.dataType == StringType():
+            spark.sql(f"ALTER TABLE {table} ALTER COLUMN `{f.name}` COMMENT ''")
+        elif f"__{f.dataType.simpleString()}" in _WIDER:
+            names[f.name] = f"{f.name}__{f.dataType.simpleString()}"
+    return df.withColumnsRenamed({old: new for old, new in names.items() if old != new})
+
+
 def create_database(spark: SparkSession, name: str, location: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{location}'")
 
@@ -38,7 +92,8 @@ def add_new_columns(spark: SparkSession, table: str, incoming: StructType) -> No
     check_types(existing, incoming)
     added = new_columns(existing, incoming)
     if added:
-        columns = ", ".join(f"`{c}` {t.simpleString()}" for c, t in added.items())
+        told = {f.name: f" COMMENT '{UNTYPED}'" for f in incoming if f.metadata.get("comment") == UNTYPED}
+        columns = ", ".join(f"`{c}` {t.simpleString()}{told.get(c, '')}" for c, t in added.items())
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
 
 
@@ -61,7 +116,7 @@ def append_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) ->
 
 
 @contextmanager
-def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     """A session setting for one write: ``insertInto`` takes no such option of its own."""
     before = spark.conf.get(key, None)
     spark.conf.set(key, value)
@@ -81,7 +136,7 @@ def replace_partitions(df: DataFrame, table: str) -> None:
     schema = table_schema(spark, table)
     by = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     aligned = align(df, schema).hint("rebalance", *by)
-    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         aligned.write.insertInto(table, overwrite=True)
 
 

@@ -490,6 +490,12 @@ select o_orderkey, o_custkey, o_totalprice, o_orderdate,
   case when o_orderdate >= timestamp '{tb.CUT} 00:00:00' then o_orderpriority end
     as o_orderpriority
 from orders""",
+    "schema_drift_widening": """
+select l_orderkey * 10 + l_linenumber as id, l_partkey,
+  case when year(l_shipdate) < 1996 then null when year(l_shipdate) < 1999 then floor(l_quantity) else floor(l_quantity) + 0.5 end as qty,
+  case when year(l_shipdate) < 1999 then l_returnflag else cast(l_linenumber as varchar) end as note,
+  cast(date_trunc('year', l_shipdate) as date) as snapshot_date, cast(date_trunc('year', l_shipdate) as timestamp) as ingested_at
+from lineitem""",
     "append_snapshots": f"""
 select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
   case when o_orderdate >= timestamp '{tb.CUT} 00:00:00' then o_orderpriority end
@@ -497,7 +503,7 @@ select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
   cast(date_trunc('year', o_orderdate) as date) as snapshot_date
 from orders""",
     "ingest_snapshots": f"""
-select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag,
+select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_returnflag,
   l_linestatus, cast(l_shipdate as varchar) as l_shipdate,
   case when l_shipdate >= timestamp '{tb.CUT} 00:00:00' then l_tax end as l_tax,
   cast(date_trunc('year', l_shipdate) as date) as snapshot_date,

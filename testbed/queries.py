@@ -29,7 +29,7 @@ from advisorbook.operators.reconcile import rerun_drift, split_differences, stac
 from advisorbook.plans import kpis as kpi_plans
 from advisorbook.plans.changes import MaintainedFact
 from advisorbook.plans.dimensions import agent_activity, dim_agent, dim_customer, dim_product
-from advisorbook.plans.ingest import load_metrics, rebuild_history
+from advisorbook.plans.ingest import load_metrics, load_new_dates, rebuild_history
 from advisorbook.plans.performance import (
     monthly_performance,
     top_agents_latest_month,
@@ -47,7 +47,7 @@ from advisorbook.session import cut_lineage, work_path
 from advisorbook.sources.change_log import StagedChange
 from advisorbook.sources.latest_table import LatestTable
 from advisorbook.sources.snapshots import FROM_FOLDER
-from advisorbook.sources.tables import append_table, create_database
+from advisorbook.sources.tables import append_table, create_database, read_table
 from testbed import tables as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +94,14 @@ def _lines(spark: SparkSession, d: str) -> DataFrame:
     return tb.table(spark, d, "lineitem").withColumn("id", tb.entry_id())
 
 
+def _database(spark: SparkSession, name: str) -> tuple[str, str]:
+    """A fresh database for the tables of one query, and its folder."""
+    folder = work_path(spark, name)
+    database = folder.rsplit("/", 1)[1].replace("-", "_")
+    create_database(spark, database, f"{folder}/tables")
+    return database, folder
+
+
 # Fact, report and their parts.
 
 
@@ -346,14 +354,6 @@ def merge_history(spark: SparkSession, d: str) -> DataFrame:
     return upsert_versions(target, source, ["id", "snapshot_date"], ["l_partkey", "l_suppkey"])
 
 
-def _database(spark: SparkSession, name: str) -> tuple[str, str]:
-    """A fresh database for the tables of one query, and its folder."""
-    folder = work_path(spark, name)
-    database = folder.rsplit("/", 1)[1].replace("-", "_")
-    create_database(spark, database, f"{folder}/tables")
-    return database, folder
-
-
 @query("merge_latest_guarded")
 def merge_latest_guarded(spark: SparkSession, d: str) -> DataFrame:
     """The newer snapshots are loaded first, then the older ones, one year of them twice."""
@@ -414,6 +414,36 @@ def schema_drift_union(spark: SparkSession, d: str) -> DataFrame:
     return union_with_drift([early, late])
 
 
+def _write_csv(batch: DataFrame, folder: str) -> None:
+    """One folder of files per snapshot date, with a header."""
+    by_date = batch.hint("rebalance", "snapshot").write.mode("append").partitionBy("snapshot")
+    by_date.option("header", True).csv(folder)
+
+
+@query("schema_drift_widening")
+def schema_drift_widening(spark: SparkSession, d: str) -> DataFrame:
+    """Yearly snapshots in three loads: a quantity without values, of whole numbers, of fractions; a note of
+    letters, then of digits."""
+    database, folder = _database(spark, "widening")
+    lines = _lines(spark, d).withColumn("snapshot", F.trunc("l_shipdate", "year"))
+    year, name = F.year("snapshot"), f"{database}.history"
+    quantity, dates = F.floor("l_quantity"), []
+    flag, number = F.col("l_returnflag"), F.col("l_linenumber").cast("string")
+    for years, qty, note in (
+        (year < 1996, F.lit(None), flag),
+        (year.between(1996, 1998), quantity, flag),
+        (year > 1998, quantity + F.lit(0.5), number),
+    ):
+        part = lines.filter(years)
+        _write_csv(part.select("snapshot", "id", "l_partkey", qty.cast("string").alias("qty"), note.alias("note")), f"{folder}/csv")
+        dates = [r[0] for r in part.select("snapshot").distinct().collect()]
+        load_new_dates(
+            spark, f"{folder}/csv", name, dates, {"id": LongType(), "l_partkey": LongType()},
+            date_from=FROM_FOLDER, heads=f"{database}.heads",
+        )
+    return read_table(spark, name)
+
+
 @query("append_snapshots")
 def append_snapshots(spark: SparkSession, d: str) -> DataFrame:
     """Two appends to one table; the second brings a column the first lacks."""
@@ -437,6 +467,7 @@ CSV_CONTRACT = {
     "l_linenumber": IntegerType(),
     "l_quantity": DoubleType(),
     "l_extendedprice": DoubleType(),
+    "l_discount": DoubleType(),
     "l_returnflag": StringType(),
     "l_linestatus": StringType(),
     "l_shipdate": StringType(),
@@ -446,22 +477,14 @@ CSV_CONTRACT = {
 @query("ingest_snapshots")
 def ingest_snapshots(spark: SparkSession, d: str) -> DataFrame:
     """Line items as yearly CSV snapshots, with one more column from 1999, and back."""
-    folder = work_path(spark, "ingest")
-    database = folder.rsplit("/", 1)[1].replace("-", "_")
-    create_database(spark, database, f"{folder}/tables")
+    database, folder = _database(spark, "ingest")
     lines = tb.table(spark, d, "lineitem").withColumn("snapshot", F.trunc("l_shipdate", "year"))
     texts = [F.col(c).cast("string").alias(c) for c in CSV_CONTRACT]
     cut = F.lit(tb.CUT).cast("timestamp_ntz")
     early = lines.filter(F.col("l_shipdate") < cut).select("snapshot", *texts)
     late = lines.filter(F.col("l_shipdate") >= cut).select("snapshot", *texts, "l_tax")
     for batch in (early, late):
-        (
-            batch.hint("rebalance", "snapshot")
-            .write.mode("append")
-            .partitionBy("snapshot")
-            .option("header", True)
-            .csv(f"{folder}/csv")
-        )
+        _write_csv(batch, f"{folder}/csv")
     name = f"{database}.history"
     rebuild_history(spark, f"{folder}/csv", name, CSV_CONTRACT, date_from=FROM_FOLDER)
     return spark.table(name)

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType
 
 from advisorbook.operators.drift import align, union_with_drift
@@ -12,10 +13,13 @@ from advisorbook.sources.snapshots import (
     read_master,
     read_snapshots,
 )
+from advisorbook.sources.change_log import StagedChange
+from advisorbook.sources.latest_table import LatestTable
 from advisorbook.sources.tables import (
     append_table,
     create_database,
     merge_table,
+    read_table,
     replace_table,
     table_schema,
 )
@@ -102,6 +106,90 @@ def test_a_drifted_column_must_not_change_its_type(spark, tmp_path):
         read(spark, tmp_path)
 
 
+@pytest.mark.parametrize(
+    ("risks", "kind", "expected"),
+    [
+        (["", "5", "2.5", "7"], "double", [None, 5.0, 2.5, 7.0]),
+        (["5", ""], "bigint", [5, None]),
+        (["", ""], "string", [None, None]),
+        (["", "high", "7"], "string", [None, "high", "7"]),
+        (["2.5", "7"], "double", [2.5, 7.0]),
+        (["", "true"], "boolean", [None, True]),
+    ],
+)
+def test_drifted_types_widen(spark, tmp_path, database, risks, kind, expected):
+    table, n = f"{database}.history", len(risks)
+    for k, risk in enumerate(risks, 1):
+        # Another column each time, so that every file has a header of its own.
+        write(tmp_path / "in", f"s_2026-01-{k:02}.csv", f"id,risk,c{k}\n{k},{risk},x\n")
+    together = read(spark, tmp_path / "in")
+    for k in range(1, n + 1):
+        before = set(spark.table(table).inputFiles()) if k > 1 else set()
+        load_new_dates(spark, str(tmp_path / "in"), table, [day(f"2026-01-{k:02}")], CONTRACT, heads=f"{database}.heads")
+        assert before < set(spark.table(table).inputFiles())
+    one_by_one = read_table(spark, table)
+    for got in (together, one_by_one):
+        assert dict(got.dtypes)["risk"] == kind
+        assert [r["risk"] for r in got.orderBy("id").collect()] == expected
+    assert set(one_by_one.columns) == set(together.columns)
+    assert "PartitionFilters: [isnotnull(snapshot_date" in one_by_one.filter(
+        F.col("snapshot_date") == day("2026-01-01")
+    )._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(("first", "second"), [("5", "high"), ("2.5", "true"), ("true", "high"), ("true", "1")])
+def test_what_does_not_fit_a_stored_type_fails(spark, tmp_path, database, first, second):
+    table = f"{database}.history"
+    write(tmp_path / "in", "s_2026-01-01.csv", f"id,risk\n1,{first}\n")
+    rebuild_history(spark, str(tmp_path / "in"), table, CONTRACT)
+    write(tmp_path / "in", "s_2026-01-02.csv", f"id,risk\n1,{second}\n")
+    with pytest.raises(ValueError, match="Column type changed: risk"):
+        load_new_dates(spark, str(tmp_path / "in"), table, [day("2026-01-02")], CONTRACT)
+    assert spark.table(table).count() == 1
+
+
+def test_latest_rows_follow_a_widened_column(spark, tmp_path, database):
+    for k, risk in enumerate(["", "5", "2.5"], 1):
+        write(tmp_path / "in", f"s_2026-01-{k:02}.csv", f"id,risk\n{k},{risk}\n9,{risk}\n")
+        load_new_dates(spark, str(tmp_path / "in"), f"{database}.history", [day(f"2026-01-{k:02}")], CONTRACT)
+        arrived = read_table(spark, f"{database}.history").filter(F.col("snapshot_date") == day(f"2026-01-{k:02}"))
+        change = StagedChange(spark, f"{database}.log")
+        latest = LatestTable(spark, f"{database}.latest", ["id"], "ingested_at", buckets=2)
+        latest.merge(arrived, change)
+        change.commit()
+    assert rows_of(latest.rows(), "id", "risk") == [(1, None), (2, 5.0), (3, 2.5), (9, 2.5)]
+
+
+def test_first_lines_take_the_same_jobs_for_any_number_of_files(spark, tmp_path, database):
+    def jobs(folder, heads=None):
+        group = f"heads-{folder}-{heads}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            files = list_snapshots(spark, str(tmp_path / folder))
+            rows = read_snapshots(spark, files, CONTRACT, heads=heads)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return rows, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    for folder, n in (("few", 80), ("many", 160)):  # above 32 files of a header Spark lists them by a job
+        for k in range(n):
+            header, line = ("id,risk", f"{k},7") if k % 2 else ("id, name", f"{k},a")
+            write(tmp_path / folder, f"s{k}_2026-01-{k % 28 + 1:02}.csv", f"{header}\n{line}\n")
+    write(tmp_path / "many", "empty_2026-01-01.csv", "")
+    long = "".join(f"{k},n{k},1.5,true\n" for k in range(200_000))
+    write(tmp_path / "many", "long_2026-01-01.csv", "id,name,amount,is_deleted\n" + long)
+    few, few_jobs = jobs("few")
+    many, many_jobs = jobs("many")
+    assert few_jobs == many_jobs
+    assert few.count() == 80 and many.count() == 200_160 and many.agg(F.sum("risk")).first()[0] == 560
+    heads = f"{database}.heads"
+    jobs("few", heads)
+    assert spark.table(heads).count() == 80
+    write(tmp_path / "few", "new_2026-02-01.csv", "id\n1\n")
+    again, _ = jobs("few", heads)
+    assert again.count() == 81 and spark.table(heads).count() == 81
+
+
 def test_repeated_names_after_trimming_fail(spark, tmp_path):
     write(tmp_path, "s_2026-01-10.csv", "id, name,name \n1,a,b\n")
     with pytest.raises(ValueError, match=r"Duplicate column names .*\['name'\]"):
