@@ -16,12 +16,7 @@ from advisorbook.functions.dates import (
 from advisorbook.functions.text import key_hash, null_tokens, strip
 from advisorbook.operators import checks
 from advisorbook.operators.drift import union_with_drift
-from advisorbook.operators.incremental import (
-    after,
-    upsert,
-    upsert_versions,
-    watermark,
-)
+from advisorbook.operators.incremental import after, upsert, watermark
 from advisorbook.operators.latest import latest_per_key
 from advisorbook.operators.profiling import detect_business_key, profile_columns
 from advisorbook.operators.ranking import rank_in_group
@@ -45,6 +40,7 @@ from advisorbook.plans.staging import (
 )
 from advisorbook.session import cut_lineage, work_path
 from advisorbook.sources.change_log import StagedChange
+from advisorbook.sources.history_table import HistoryTable
 from advisorbook.sources.latest_table import LatestTable
 from advisorbook.sources.snapshots import FROM_FOLDER
 from advisorbook.sources.tables import append_table, create_database, read_table
@@ -345,13 +341,18 @@ def _snapshots(spark: SparkSession, d: str) -> DataFrame:
 
 @query("merge_history")
 def merge_history(spark: SparkSession, d: str) -> DataFrame:
-    """Snapshots from 1998 arrive again with corrected prices."""
+    """Snapshots from 1998 arrive again with corrected prices, by the month."""
     lines = _snapshots(spark, d)
-    target = lines.filter(F.col("snapshot_date") < _date("2000-01-01"))
+    early = lines.filter(F.col("snapshot_date") < _date("2000-01-01"))
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
-    again = lines.filter(F.col("snapshot_date") >= _date("1998-01-01"))
-    source = again.withColumn("l_extendedprice", net)
-    return upsert_versions(target, source, ["id", "snapshot_date"], ["l_partkey", "l_suppkey"])
+    again = lines.filter(F.col("snapshot_date") >= _date("1998-01-01")).withColumn("l_extendedprice", net)
+    database, _ = _database(spark, "versions")
+    table = HistoryTable(spark, f"{database}.history", ["id", "snapshot_date"], "month", ["l_partkey", "l_suppkey"])
+    for source in (early, again):
+        change = StagedChange(spark, f"{database}.log")
+        table.merge(source.withColumn("month", F.trunc("snapshot_date", "MM")), change)
+        change.commit()
+    return table.rows().drop("month")
 
 
 @query("merge_latest_guarded")

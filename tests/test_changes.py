@@ -14,6 +14,7 @@ from advisorbook.plans.staging import KPI_INPUTS, TIEBREAK, stage_portfolio
 from advisorbook.session import work_path
 from advisorbook.sources import change_log
 from advisorbook.sources.change_log import StagedChange, recover
+from advisorbook.sources.history_table import HistoryTable
 from advisorbook.sources.latest_table import LatestTable
 from advisorbook.sources.tables import create_database
 from tests.frames import products, raw, rows_of
@@ -130,6 +131,30 @@ def test_a_change_that_failed_half_way_is_finished(spark, database, monkeypatch)
     assert rows_of(latest.filter("id in (2, 3)"), "id", "value") == [(2, "a"), (3, "b")]
 
 
+def test_history_writes_only_what_differs(spark, database):
+    table = HistoryTable(spark, f"{database}.history", ["id", "day"], "day", ["value"])
+
+    def merge(rows, columns=COLUMNS):
+        change = StagedChange(spark, f"{database}.log")
+        counts = table.merge(spark.createDataFrame(rows, columns), change)
+        change.commit()
+        return sorted((r["day"].day, r["kind"], r["n"]) for r in counts.collect())
+
+    first = [(1, day(1), "a"), (2, day(1), "a"), (1, day(2), "b"), (None, day(2), "n"), (1, day(3), None), (1, day(1), "A")]
+    assert merge(first) == [(1, "insert", 2), (2, "insert", 2), (3, "insert", 1)]
+    before = files_of(spark, f"{database}.history")
+    assert merge(first) == [(1, "same", 2), (2, "same", 2), (3, "same", 1)]
+    assert files_of(spark, f"{database}.history") == before
+    got = merge([(2, day(1), "x"), (3, day(1), "new"), (1, day(2), "b"), (None, day(2), "n")])
+    assert got == [(1, "insert", 1), (1, "same", 1), (1, "update", 1), (2, "same", 2)]
+    after = files_of(spark, f"{database}.history")
+    assert {p for p, _ in before - after} == {p for p, _ in after - before} == {"day=2026-01-01"}
+    assert merge([(1, day(3), None, 5)], COLUMNS + ", score INT") == [(3, "update", 1)]
+    assert rows_of(table.rows(), "day", "id", "value", "score") == sorted([
+        (day(1), 1, "a", None), (day(1), 2, "x", None), (day(1), 3, "new", None), (day(2), 1, "b", None),
+        (day(2), None, "n", None), (day(3), 1, None, 5)], key=repr)
+
+
 def snapshots(rng, n, ids):
     """Cumulative snapshots in which entries change balance, agent, product and month, come and go."""
     state = {}
