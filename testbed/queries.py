@@ -43,7 +43,8 @@ from advisorbook.sources.change_log import StagedChange
 from advisorbook.sources.history_table import HistoryTable
 from advisorbook.sources.latest_table import LatestTable
 from advisorbook.sources.snapshots import FROM_FOLDER
-from advisorbook.sources.tables import append_table, create_database, read_table
+from advisorbook.sources.tables import append_table, create_database, merge_table, read_table, replace_table
+from advisorbook.sources.zones import ZoneTable
 from testbed import tables as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -300,11 +301,9 @@ def kyc_tenure(spark: SparkSession, d: str) -> DataFrame:
 # Upserts and incremental runs.
 
 
-def _batches(
-    spark: SparkSession, d: str, entry_date: str, lookback_days: int
-) -> tuple[DataFrame, DataFrame]:
+def _batches(spark: SparkSession, d: str, lookback_days: int) -> tuple[DataFrame, DataFrame]:
     """The fact as stored before the cut, and the months recomputed from all entries."""
-    raw = tb.history(spark, d, entry_date)
+    raw = tb.history(spark, d)
     products = _products(spark, d)
     before = raw.filter(F.col("ingested_at") < F.lit(tb.CUT).cast("timestamp_ntz"))
     stored = kpi_plans.monthly_kpis(stage_portfolio(before, KPI_INPUTS), products, tb.THRESHOLD)
@@ -326,13 +325,30 @@ def incremental_window(spark: SparkSession, d: str) -> DataFrame:
 
 @query("incremental_merge_kpis")
 def incremental_merge_kpis(spark: SparkSession, d: str) -> DataFrame:
-    return upsert(*_batches(spark, d, "l_shipdate", 90), keys=["agent_id", "month_start_date"])
+    return upsert(*_batches(spark, d, 90), keys=["agent_id", "month_start_date"])
 
 
 @query("late_arrival_merge")
 def late_arrival_merge(spark: SparkSession, d: str) -> DataFrame:
-    """Entries dated by order but carried by later shipments: some fall before the window."""
-    return upsert(*_batches(spark, d, "o_orderdate", 90), keys=["agent_id", "month_start_date"])
+    """Entries dated by order but carried by later shipments: some fall before the window.
+
+    History and fact are stored tables; of the history only the partitions the window needs are read.
+    """
+    database, _ = _database(spark, "late")
+    raw, products = tb.history(spark, d, "o_orderdate"), _products(spark, d)
+    raw = raw.select(*KPI_INPUTS, "updated_at", "snapshot_date", "ingested_at", F.trunc("snapshot_date", "MM").alias("arrived"))
+    replace_table(raw.hint("rebalance", "arrived"), f"{database}.history", ["arrived"])
+    history, fact = spark.table(f"{database}.history"), f"{database}.fact"
+    zones = ZoneTable(spark, f"{database}.zones", "arrived")
+    zones.record(history)
+    before = history.filter(F.col("arrived") < _date(tb.CUT))
+    stored = kpi_plans.monthly_kpis(stage_portfolio(before, KPI_INPUTS), products, tb.THRESHOLD)
+    merge_table(stored, fact, ["agent_id", "month_start_date"], "month_start_date")
+    mark = watermark(spark.table(fact), "month_start_date", 90)
+    needed = stage_portfolio(zones.rows_since(history, mark), KPI_INPUTS)
+    source = kpi_plans.monthly_kpis(needed, products, tb.THRESHOLD, since=mark)
+    merge_table(source, fact, ["agent_id", "month_start_date"], "month_start_date")
+    return spark.table(fact)
 
 
 def _snapshots(spark: SparkSession, d: str) -> DataFrame:

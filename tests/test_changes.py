@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from advisorbook.operators.latest import latest_per_key
 from advisorbook.plans.changes import MaintainedFact
-from advisorbook.plans.kpis import monthly_kpis
+from advisorbook.plans.kpis import monthly_kpis, since_month
 from advisorbook.plans.staging import KPI_INPUTS, TIEBREAK, stage_portfolio
 from advisorbook.session import work_path
 from advisorbook.sources import change_log
 from advisorbook.sources.change_log import StagedChange, recover
 from advisorbook.sources.history_table import HistoryTable
 from advisorbook.sources.latest_table import LatestTable
-from advisorbook.sources.tables import create_database
+from advisorbook.sources.tables import create_database, merge_table, replace_table
+from advisorbook.sources.zones import ZoneTable
 from tests.frames import products, raw, rows_of
 
 COLUMNS = "id LONG, day DATE, value STRING"
@@ -155,6 +156,37 @@ def test_history_writes_only_what_differs(spark, database):
         (day(2), None, "n", None), (day(3), 1, None, 5)], key=repr)
 
 
+def scanned(frame):
+    return "\n".join(x for x in frame._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x)
+
+
+def test_a_lookback_reads_only_the_partitions_it_needs(spark, database):
+    rng = random.Random(9)
+    days = {k: [{**r, "date": f"2026-{min(12, k + rng.randint(-2, 0) if k > 2 else k):02}-05"} for r in rows]
+            for k, rows in enumerate(snapshots(rng, 8, 20), 1)}
+    every = raw(spark, *[r for rows in days.values() for r in rows])
+    replace_table(every, f"{database}.history", ["snapshot_date"])
+    history = spark.table(f"{database}.history")
+    zones = ZoneTable(spark, f"{database}.zones", "snapshot_date")
+    zones.record(history, [day(k) for k in (1, 2, 3, 4)])
+    zones.record(history, [day(k) for k in (4, 5, 6, 7, 8)])
+    listed = products(spark)
+    fact = monthly_kpis(stage_portfolio(every, KPI_INPUTS), listed)
+    for month in (1, 4, 6, 8):
+        since = dt.date(2026, month, 1)
+        rows = zones.rows_since(history, since)
+        got = monthly_kpis(stage_portfolio(rows, KPI_INPUTS), listed, since=since)
+        assert rows_of(got) == rows_of(fact.filter(F.col("month_start_date") > since))
+        read = {Path(f).parent.name for f in rows.inputFiles()}
+        assert len(read) < 8 or month == 1
+        if read:
+            assert "PartitionFilters: [isnotnull(snapshot_date" in scanned(rows)
+    merge_table(fact, f"{database}.fact", ["agent_id", "month_start_date"], "month_start_date")
+    late = since_month(spark.table(f"{database}.fact"), dt.date(2026, 4, 1))
+    assert "PartitionFilters: [isnotnull(month_start_date" in scanned(late)
+    assert all(Path(f).parent.name >= "month_start_date=2026-04-01" for f in late.inputFiles())
+
+
 def snapshots(rng, n, ids):
     """Cumulative snapshots in which entries change balance, agent, product and month, come and go."""
     state = {}
