@@ -1,4 +1,4 @@
-"""The monthly fact kept up by changes, equal to a full build after each of them.
+"""The monthly fact and its report kept up by changes, equal to a full build after each of them.
 
 Three tables, all partitioned by month, hold what a change needs: the live entries, the totals per
 (agent, month, customer) and (agent, month, product), and the fact. A change of entries is
@@ -7,22 +7,29 @@ totals, negative where money left; the fact's months are folded from the totals
 without a changed entry are not read.
 """
 
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DecimalType, StructType
+from pyspark.sql.types import DataType, DateType, DecimalType, DoubleType, IntegerType, LongType, StructType
 
 from advisorbook import fixed_values as fv
 from advisorbook.contracts import MONEY
 from advisorbook.functions.dates import business_date, month_start
+from advisorbook.operators.latest import latest_per_key
 from advisorbook.plans.kpis import as_money, kpis_of_totals, position_totals
+from advisorbook.plans.performance import performance_rows
 from advisorbook.plans.staging import is_active
 from advisorbook.session import cut_lineage
 from advisorbook.sources.change_log import StagedChange, partition_is
 from advisorbook.sources.tables import create_partitioned
 
 MONTH = "month_start_date"
+_CARRY = (
+    StructType().add("agent_id", LongType()).add(MONTH, DateType()).add("total_aum", DoubleType())
+    .add("core_customer_count", LongType()).add("checkpoint", DateType()).add("slot", IntegerType())
+)
 _POSITION = [MONTH, "agent_id", "customer_id", "product_id"]
 _TOTAL = [MONTH, "agent_id", "customer_id", "product_id", "is_product_total"]
 
@@ -106,10 +113,13 @@ class MaintainedFact:
             (F.col("now").isNotNull().cast("long") - F.col("was").isNotNull().cast("long")).alias("positions"),
         )
 
-    def apply(self, feed: DataFrame, products: DataFrame, change: StagedChange, reclassified: DataFrame | None = None) -> None:
+    def apply(
+        self, feed: DataFrame, products: DataFrame, change: StagedChange, reclassified: DataFrame | None = None
+    ) -> tuple[list, DataFrame | None]:
         """Stage what a feed of changed raw rows (id, before, after) does to the three tables.
 
         ``reclassified`` names products (``product_id``) whose bucket is another than at the last change.
+        Returns the months of the fact that are replaced, and their new rows.
         """
         moved = self._moved(feed)
         months = [r[0] for r in moved.select(MONTH).distinct().collect()]
@@ -118,7 +128,7 @@ class MaintainedFact:
             held = self.spark.table(self.totals).filter("is_product_total = 1").join(reclassified, "product_id", "left_semi")
             again += [r[0] for r in held.select(MONTH).distinct().collect() if r[0] not in months]
         if not again:
-            return
+            return [], None
         merged = self._merge_entries(moved, months)
         now = merged.filter("top.rank != 1").select(MONTH, "portfolio_id", "top.*").drop("rank")
         change.stage(now.select(*[c for c in moved.columns if c != "rank"]), self.entries, MONTH, months)
@@ -135,4 +145,68 @@ class MaintainedFact:
             totals = totals.unionByName(self._months(self.totals, totals.schema, unmoved))
         facts = kpis_of_totals(totals, products, self.threshold, self.stamp)
         self._months(self.fact, facts.schema, again)
-        change.stage(facts, self.fact, MONTH, again)
+        return again, change.stage(facts, self.fact, MONTH, again)
+
+
+class MaintainedReport:
+    """The report's rows, without names, kept up with the fact.
+
+    Changed months are ranked anew. A change reaches a later month only as the previous month of an
+    agent's next present row, so of the later months those rows' are replaced. What came before the
+    first changed month is known from ``carry``: each agent's last row before a checkpoint, which moves to
+    the first month of each change; the fact is read from the checkpoint on, and wholly only where a
+    change lies before it. A NULL month comes last.
+    """
+
+    def __init__(self, spark: SparkSession, fact: str, report: str, carry: str) -> None:
+        self.spark, self.fact, self.report, self.carry = spark, fact, report, carry
+
+    def _before(self, start: dt.date) -> DataFrame:
+        """The last row of each agent before a month."""
+        narrow = ["agent_id", MONTH, "total_aum", "core_customer_count"]
+        rows = self.spark.table(self.fact).filter(F.col(MONTH) < F.lit(start)).select(*narrow)
+        if self.spark.catalog.tableExists(self.carry):
+            carried = self.spark.table(self.carry)
+            checkpoint = carried.agg(F.min("checkpoint")).first()[0]
+            if checkpoint is not None and checkpoint <= start:
+                carried = carried.filter(F.col(MONTH).isNotNull()).select(*narrow)
+                rows = rows.filter(F.col(MONTH) >= F.lit(checkpoint)).unionByName(carried)
+        return cut_lineage(latest_per_key(rows, ["agent_id"], [MONTH]), "report-carry")
+
+    def _reached(self, present: DataFrame, marks: DataFrame) -> list:
+        """Months of the next present row behind each changed row."""
+        flagged = present.withColumn("here", F.lit(True)).unionByName(marks.withColumn("here", F.lit(False)))
+        rows = flagged.groupBy("agent_id", MONTH).agg(F.bool_or("here").alias("here"), F.bool_or(~F.col("here")).alias("mark"))
+        later = Window.partitionBy("agent_id").orderBy(F.asc_nulls_last(MONTH)).rowsBetween(1, Window.unboundedFollowing)
+        following = F.first(F.when(F.col("here"), F.struct(MONTH)), ignorenulls=True).over(later)
+        found = rows.withColumn("following", following).filter(F.col("mark") & F.col("following").isNotNull())
+        return [r[0] for r in found.select(f"following.{MONTH}").distinct().collect()]
+
+    def apply(self, months: list, facts: DataFrame | None, change: StagedChange) -> None:
+        """Stage the report for a fact whose ``months`` become ``facts``; the fact itself is not swapped yet."""
+        if not months:
+            return
+        known = [m for m in months if m is not None]
+        start = min(known, default=dt.date.max)
+        if self.spark.catalog.tableExists(self.fact):
+            stored = self.spark.table(self.fact).filter((F.col(MONTH) >= F.lit(start)) | F.col(MONTH).isNull())
+        else:
+            stored = facts.limit(0)
+        here = F.coalesce(partition_is(MONTH, months), F.lit(False))
+        rows = cut_lineage(stored.filter(~here).unionByName(facts, allowMissingColumns=True), "report-input")
+        key = ["agent_id", MONTH]
+        marks = cut_lineage(stored.filter(here).select(*key).unionByName(facts.select(*key)).distinct(), "report-marks")
+        agents = marks.select(F.col("agent_id").alias("_agent")).distinct()
+        present = rows.select(*key).join(agents, F.col("agent_id").eqNullSafe(F.col("_agent")), "left_semi")
+        replaced = months + [m for m in self._reached(present, marks) if m not in months]
+        before = self._before(start)
+        made = performance_rows(cut_lineage(before.unionByName(rows, allowMissingColumns=True), "report-range"))
+        kept = made.filter(F.coalesce(partition_is(MONTH, replaced), F.lit(False)))
+        for name, schema, by in ((self.report, made.schema, MONTH), (self.carry, _CARRY, "slot")):
+            if not self.spark.catalog.tableExists(name):
+                create_partitioned(self.spark, name, schema, by)
+        change.stage(kept, self.report, MONTH, replaced)
+        marker = self.spark.range(1).select(F.lit(None).cast(before.schema["agent_id"].dataType).alias("agent_id"))
+        state = before.unionByName(marker, allowMissingColumns=True)
+        state = state.withColumns({"checkpoint": F.lit(start), "slot": F.lit(0)})
+        change.stage(state.select(*_CARRY.names), self.carry, "slot", [0])

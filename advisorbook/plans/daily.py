@@ -11,11 +11,11 @@ from advisorbook import fixed_values as fv
 from advisorbook.contracts import CUSTOMERS, INGESTED_AT, KPI_KEYS, MONEY, PRODUCTS, SNAPSHOT_DATE
 from advisorbook.operators.checks import require_passed
 from advisorbook.operators.incremental import watermark
-from advisorbook.plans.changes import MaintainedFact
+from advisorbook.plans.changes import MaintainedFact, MaintainedReport
 from advisorbook.plans.dimensions import dim_agent, dim_customer, dim_product
 from advisorbook.plans.ingest import load_master, load_metrics, load_new_dates, load_summary, rebuild_history
 from advisorbook.plans.kpis import monthly_kpis
-from advisorbook.plans.performance import monthly_performance
+from advisorbook.plans.performance import monthly_performance, with_agent_names
 from advisorbook.plans.quality import standard_report
 from advisorbook.plans.staging import (
     KPI_INPUTS,
@@ -43,6 +43,8 @@ FACT = "marts.agent_monthly_kpis"
 MONTH_ENTRIES = "marts.month_entries"
 MONTH_TOTALS = "marts.agent_month_totals"
 FACT_PRODUCTS = "marts.fact_products"
+REPORT_ROWS = "marts.report_rows"
+REPORT_CARRY = "marts.report_carry"
 REPORT = "agent_monthly_performance"
 
 
@@ -97,7 +99,8 @@ def load_history(spark: SparkSession, settings: Settings) -> tuple[DataFrame, li
     recover(spark, LOAD_LOG)
     needed = [RAW_HISTORY, RAW_LATEST, *([FACT_PRODUCTS] if settings.by_changes else [])]
     if settings.full_refresh or not all(map(spark.catalog.tableExists, needed)):
-        for table in (RAW_LATEST, LOAD_LOG, MONTH_ENTRIES, MONTH_TOTALS, FACT_PRODUCTS, *([FACT] if settings.by_changes else [])):
+        for table in (RAW_LATEST, LOAD_LOG, MONTH_ENTRIES, MONTH_TOTALS, FACT_PRODUCTS, REPORT_ROWS, REPORT_CARRY,
+                      *([FACT] if settings.by_changes else [])):
             spark.sql(f"DROP TABLE IF EXISTS {table}")
         metrics = rebuild_history(spark, settings.snapshot_folder, RAW_HISTORY, heads=HEADS)
         loaded = [r[0].isoformat() for r in metrics.select(SNAPSHOT_DATE).collect()]
@@ -163,7 +166,8 @@ def run_daily(spark: SparkSession, settings: Settings) -> dict:
         maintained = MaintainedFact(
             spark, MONTH_ENTRIES, MONTH_TOTALS, FACT, settings.threshold, settings.money, F.current_timestamp()
         )
-        maintained.apply(feed, products, change, reclassified_products(spark, products))
+        months, facts = maintained.apply(feed, products, change, reclassified_products(spark, products))
+        MaintainedReport(spark, FACT, REPORT_ROWS, REPORT_CARRY).apply(months, facts, change)
     change.commit(dates)
     staged = stage_views(spark)
     as_of = F.current_date() if settings.as_of is None else F.lit(settings.as_of)
@@ -176,7 +180,10 @@ def run_daily(spark: SparkSession, settings: Settings) -> dict:
     else:
         build_fact(spark, settings, entries)
 
-    report = monthly_performance(spark.table(FACT), spark.table(DIM_AGENT))
+    if settings.by_changes:
+        report = with_agent_names(spark.table(REPORT_ROWS), spark.table(DIM_AGENT))
+    else:
+        report = monthly_performance(spark.table(FACT), spark.table(DIM_AGENT))
     report.createOrReplaceTempView(REPORT)
     checks = standard_report(
         history=read_table(spark, RAW_HISTORY),

@@ -13,6 +13,15 @@ from advisorbook.operators.ranking import (
 )
 
 
+# Columns of the report but the agent's name.
+PERFORMANCE = (
+    "agent_id", "month_start_date", "total_aum", "aum_equity_campuran", "aum_fixed_income",
+    "pct_equity_campuran", "pct_fixed_income", "core_customer_count", "total_customer_count",
+    "distinct_products_held", "month_end_positions", "rank_aum_in_month", "aum_mom_change_idr",
+    "aum_mom_change_pct", "core_customers_mom_change", "portfolio_profile",
+)
+
+
 def with_monthly_change(kpis: DataFrame) -> DataFrame:
     """Add the agent's previous present month and the changes against it."""
     known = with_previous(
@@ -39,12 +48,22 @@ def monthly_performance(
 
     ``kpis`` should be the stored fact: ranking reads it more than once.
     """
+    return with_agent_names(performance_rows(kpis, splits), agents)
+
+
+def with_agent_names(rows: DataFrame, agents: DataFrame) -> DataFrame:
+    """The report from its rows: the name of each agent behind its id."""
+    names = agents.select(F.col("agent_id").alias("_agent_id"), "agent_name")
+    named = rows.join(names, rows["agent_id"] == names["_agent_id"], "left")
+    return named.select("agent_id", "agent_name", *[c for c in PERFORMANCE if c != "agent_id"])
+
+
+def performance_rows(kpis: DataFrame, splits: int = DEFAULT_SPLITS) -> DataFrame:
+    """The report without names, which come from another table and change on their own."""
     ranked = rank_in_group(
         kpis, ["month_start_date"], "total_aum", "rank_aum_in_month", splits, few_groups=True
     )
     changed = with_monthly_change(ranked)
-    names = agents.select(F.col("agent_id").alias("_agent_id"), "agent_name")
-    named = changed.join(names, changed["agent_id"] == names["_agent_id"], "left")
 
     total = F.col("total_aum")
     profile = (
@@ -53,25 +72,9 @@ def monthly_performance(
         .when(F.col("pct_equity_campuran") >= fv.HEAVY_SHARE, fv.PROFILE_EQUITY)
         .otherwise(fv.PROFILE_BALANCED)
     )
-    return named.select(
-        "agent_id",
-        "agent_name",
-        "month_start_date",
-        "total_aum",
-        "aum_equity_campuran",
-        "aum_fixed_income",
-        F.round("pct_equity_campuran", 4).alias("pct_equity_campuran"),
-        F.round("pct_fixed_income", 4).alias("pct_fixed_income"),
-        "core_customer_count",
-        "total_customer_count",
-        "distinct_products_held",
-        "month_end_positions",
-        "rank_aum_in_month",
-        "aum_mom_change_idr",
-        "aum_mom_change_pct",
-        "core_customers_mom_change",
-        profile.alias("portfolio_profile"),
-    )
+    # The profile reads the shares as they are, so they are rounded after it.
+    shares = {c: F.round(c, 4) for c in ("pct_equity_campuran", "pct_fixed_income")}
+    return changed.withColumn("portfolio_profile", profile).withColumns(shares).select(*PERFORMANCE)
 
 
 def top_agents_latest_month(

@@ -1,7 +1,7 @@
 """Every operator of the library, run over the test tables."""
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,12 +22,13 @@ from advisorbook.operators.profiling import detect_business_key, profile_columns
 from advisorbook.operators.ranking import rank_in_group
 from advisorbook.operators.reconcile import rerun_drift, split_differences, stack_totals
 from advisorbook.plans import kpis as kpi_plans
-from advisorbook.plans.changes import MaintainedFact
+from advisorbook.plans.changes import MaintainedFact, MaintainedReport
 from advisorbook.plans.dimensions import agent_activity, dim_agent, dim_customer, dim_product
 from advisorbook.plans.ingest import load_metrics, load_new_dates, rebuild_history
 from advisorbook.plans.performance import (
     monthly_performance,
     top_agents_latest_month,
+    with_agent_names,
     with_monthly_change,
 )
 from advisorbook.plans.staging import (
@@ -387,20 +388,34 @@ def merge_latest_guarded(spark: SparkSession, d: str) -> DataFrame:
     return table.rows()
 
 
-@query("maintained_monthly_kpis")
-def maintained_monthly_kpis(spark: SparkSession, d: str) -> DataFrame:
-    """The fact after four increments of the history, the newest first and the oldest last but one."""
+def _maintain(spark: SparkSession, d: str, increments: Sequence[Column]) -> str:
+    """Fact and report kept up over increments of the history; returns the database."""
     history, products = tb.history(spark, d).select(*KPI_INPUTS, "updated_at", "snapshot_date", "ingested_at"), _products(spark, d)
     database, _ = _database(spark, "maintained")
-    year = F.year("snapshot_date")
-    for increment in (year >= 2000, year.between(1997, 1998), year < 1997, year == 1999):
+    for increment in increments:
         change = StagedChange(spark, f"{database}.log")
         latest = LatestTable(spark, f"{database}.latest", ["id"], "ingested_at", TIEBREAK, buckets=8)
         feed = latest.merge(history.filter(increment), change)
         fact = MaintainedFact(spark, f"{database}.entries", f"{database}.totals", f"{database}.fact", tb.THRESHOLD)
-        fact.apply(feed, products, change)
+        months, facts = fact.apply(feed, products, change)
+        MaintainedReport(spark, f"{database}.fact", f"{database}.report", f"{database}.carry").apply(months, facts, change)
         change.commit()
-    return spark.table(f"{database}.fact")
+    return database
+
+
+@query("maintained_monthly_kpis")
+def maintained_monthly_kpis(spark: SparkSession, d: str) -> DataFrame:
+    """The fact after three increments of the history, the newest first and the oldest next."""
+    year = F.year("snapshot_date")
+    return spark.table(f"{_maintain(spark, d, [year >= 1999, year < 1997, year.between(1997, 1998)])}.fact")
+
+
+@query("maintained_monthly_performance")
+def maintained_monthly_performance(spark: SparkSession, d: str) -> DataFrame:
+    """The report after a first load and a year that arrives late."""
+    late = F.year("snapshot_date") == 1998
+    rows = spark.table(f"{_maintain(spark, d, [~late, late])}.report")
+    return with_agent_names(rows, _agents(spark, d, _entries(spark, d)))
 
 
 @query("rerun_drift")

@@ -8,10 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from advisorbook.operators.latest import latest_per_key
-from advisorbook.plans.changes import MaintainedFact
+from advisorbook.plans.changes import MaintainedFact, MaintainedReport
 from advisorbook.plans.kpis import monthly_kpis, since_month
+from advisorbook.plans.performance import performance_rows
 from advisorbook.plans.staging import KPI_INPUTS, TIEBREAK, stage_portfolio
-from advisorbook.session import work_path
+from advisorbook.session import cut_lineage, work_path
 from advisorbook.sources import change_log
 from advisorbook.sources.change_log import StagedChange, recover
 from advisorbook.sources.history_table import HistoryTable
@@ -214,12 +215,39 @@ def test_fact_after_ten_increments_equals_a_full_build(spark, database):
         change = StagedChange(spark, f"{database}.log")
         feed = LatestTable(spark, f"{database}.latest", ["id"], "ingested_at", TIEBREAK, buckets=4).merge(frame, change)
         fact = MaintainedFact(spark, f"{database}.entries", f"{database}.totals", f"{database}.fact")
-        fact.apply(feed, listed, change)
+        months, facts = fact.apply(feed, listed, change)
+        MaintainedReport(spark, f"{database}.fact", f"{database}.report", f"{database}.carry").apply(months, facts, change)
         change.commit()
         seen += rows
         if k in (0, 3, 6, 9):
-            full = monthly_kpis(stage_portfolio(raw(spark, *seen), KPI_INPUTS), listed)
+            full = cut_lineage(monthly_kpis(stage_portfolio(raw(spark, *seen), KPI_INPUTS), listed), "full")
             assert rows_of(spark.table(f"{database}.fact").select(*full.columns)) == rows_of(full)
+            report = performance_rows(full)
+            assert rows_of(spark.table(f"{database}.report").select(*report.columns)) == rows_of(report)
+
+
+def test_report_over_gaps_and_late_months(spark, database):
+    """Few months change at a time, with gaps between an agent's months; facts are made directly."""
+    columns = "agent_id long, month_start_date date, total_aum double, core_customer_count long"
+    more = ("aum_equity_campuran", "aum_fixed_income", "pct_equity_campuran", "pct_fixed_income",
+            "total_customer_count", "distinct_products_held", "month_end_positions")
+    rng, stored = random.Random(5), {}
+
+    def frame(rows):
+        made = spark.createDataFrame([(a, m, *v) for (a, m), v in rows.items()], columns)
+        return made.withColumns({c: F.lit(0.5) for c in more[:4]} | {c: F.lit(1).cast("long") for c in more[4:]})
+
+    calendar = [dt.date(2025, m, 1) for m in range(1, 13)]
+    replace_table(frame({(1, calendar[0]): (1.0, 1)}).limit(0), f"{database}.fact", ["month_start_date"])
+    for months in (calendar[2:5], [calendar[9]], [calendar[10], None], [calendar[0]], [calendar[4], calendar[7]], [calendar[11]], [calendar[10]]):
+        new = {(a, m): (float(rng.randint(0, 9)), rng.randint(0, 5)) for m in months for a in (1, 2, 3, 4, None) if rng.random() < 0.5}
+        change = StagedChange(spark, f"{database}.log")
+        facts = change.stage(frame(new), f"{database}.fact", "month_start_date", months)
+        MaintainedReport(spark, f"{database}.fact", f"{database}.report", f"{database}.carry").apply(months, facts, change)
+        change.commit()
+        stored = {k: v for k, v in stored.items() if k[1] not in months} | new
+        rebuilt = performance_rows(cut_lineage(frame(stored), "facts"))
+        assert rows_of(spark.table(f"{database}.report").select(*rebuilt.columns)) == rows_of(rebuilt)
 
 
 def test_months_without_a_change_are_left_and_emptied_months_go(spark, database):
