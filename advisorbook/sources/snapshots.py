@@ -61,26 +61,27 @@ def parse_header(line: str) -> tuple[str, ...]:
     return tuple(next(csv.reader([line.lstrip("﻿")])))
 
 
-def _first_row(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first row, if it opens its file; what is left of the split is not read."""
-    for batch in batches:
-        if batch.num_rows:
-            if batch.column(2)[0].as_py() == 0:
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(0, 1), batch.column(1).slice(0, 1)], ["uri", "line"])
-            return
-
-
 def first_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """uri and first line of each file, in one job; empty files have none.
 
-    Each file is split on its own and each split ends after its first rows.
+    Each file is split on its own and each split ends after its first rows. The function is sent to the
+    executors whole, so they need no copy of this package.
     """
     if not paths:
         return spark.createDataFrame([], "uri STRING, line STRING")
+
+    def first_row(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The first row, if it opens its file; what is left of the split is not read."""
+        for batch in batches:
+            if batch.num_rows:
+                if batch.column(2)[0].as_py() == 0:
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(0, 1), batch.column(1).slice(0, 1)], ["uri", "line"])
+                return
+
     split = spark.conf.get("spark.sql.files.maxPartitionBytes")
     with setting(spark, "spark.sql.files.openCostInBytes", split), setting(spark, _ARROW_ROWS, "10"):
         rows = spark.read.text(list(paths)).select("_metadata.file_path", "value", "_metadata.file_block_start")
-        return cut_lineage(rows.mapInArrow(_first_row, "uri STRING, line STRING"), "first-lines")
+        return cut_lineage(rows.mapInArrow(first_row, "uri STRING, line STRING"), "first-lines")
 
 
 def read_heads(spark: SparkSession, files: DataFrame, catalog: str | None = None) -> DataFrame:
