@@ -597,3 +597,10 @@ where c_name is null""",
 
 # Kept up by changes, the report equals one built at once.
 ORACLE["maintained_monthly_performance"] = ORACLE["agent_monthly_performance"]
+
+ORACLE["rerun_drift_by_month"] = _with(
+    FACT,
+    "select count(*) as rows_after,"
+    " count(*) filter (where core_customer_count > 0 and month_start_date >= date '1998-01-01') as rows_with_changed_ts,"
+    " count(*) filter (where aum_unknown_class > 0 and month_start_date >= date '1998-01-01') as aum_drift_rows from kpi",
+)

@@ -20,7 +20,12 @@ from advisorbook.operators.incremental import after, upsert, watermark
 from advisorbook.operators.latest import latest_per_key
 from advisorbook.operators.profiling import detect_business_key, profile_columns
 from advisorbook.operators.ranking import rank_in_group
-from advisorbook.operators.reconcile import rerun_drift, split_differences, stack_totals
+from advisorbook.operators.reconcile import (
+    rerun_drift,
+    rerun_drift_by_period,
+    split_differences,
+    stack_totals,
+)
 from advisorbook.plans import kpis as kpi_plans
 from advisorbook.plans.changes import MaintainedFact, MaintainedReport
 from advisorbook.plans.dimensions import agent_activity, dim_agent, dim_customer, dim_product
@@ -418,8 +423,7 @@ def maintained_monthly_performance(spark: SparkSession, d: str) -> DataFrame:
     return with_agent_names(rows, _agents(spark, d, _entries(spark, d)))
 
 
-@query("rerun_drift")
-def rerun_drift_counts(spark: SparkSession, d: str) -> DataFrame:
+def _two_runs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """A second run stamps every row anew and changes the totals of unclassified money."""
     before = _kpis(spark, d).withColumn("updated_at", _date("2001-12-01"))
     changed = F.when(F.col("aum_unknown_class") > 0, F.col("total_aum") + 1)
@@ -431,7 +435,24 @@ def rerun_drift_counts(spark: SparkSession, d: str) -> DataFrame:
             "total_aum": F.coalesce(changed, F.col("total_aum")),
         }
     )
-    return rerun_drift(before, rerun, "updated_at")
+    return before, rerun
+
+
+@query("rerun_drift")
+def rerun_drift_counts(spark: SparkSession, d: str) -> DataFrame:
+    return rerun_drift(*_two_runs(spark, d), "updated_at")
+
+
+@query("rerun_drift_by_month")
+def rerun_drift_by_month(spark: SparkSession, d: str) -> DataFrame:
+    """The same on stored versions, of which the second changes from 1998 on only."""
+    database, _ = _database(spark, "drift")
+    before, rerun = _two_runs(spark, d)
+    early = F.col("month_start_date") < _date("1998-01-01")
+    replace_table(before.hint("rebalance", "month_start_date"), f"{database}.before", ["month_start_date"])
+    mixed = spark.table(f"{database}.before").filter(early).unionByName(rerun.filter(~early))
+    replace_table(mixed.hint("rebalance", "month_start_date"), f"{database}.after", ["month_start_date"])
+    return rerun_drift_by_period(spark.table(f"{database}.before"), spark.table(f"{database}.after"), "updated_at")
 
 
 # Ingest.

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from advisorbook.operators.latest import latest_per_key
+from advisorbook.operators.reconcile import rerun_drift, rerun_drift_by_period
 from advisorbook.plans.changes import MaintainedFact, MaintainedReport
 from advisorbook.plans.kpis import monthly_kpis, since_month
 from advisorbook.plans.performance import performance_rows
@@ -188,6 +189,25 @@ def test_a_lookback_reads_only_the_partitions_it_needs(spark, database):
     assert all(Path(f).parent.name >= "month_start_date=2026-04-01" for f in late.inputFiles())
 
 
+def test_drift_joins_only_months_that_differ(spark, database):
+    columns = "agent_id long, month_start_date date, total_aum double, updated_at date"
+    months = [dt.date(2026, m, 1) for m in (1, 2, 3, 4)]
+    rows = [(a, m, float(a or 0), day(1)) for a in (1, 2, 3, None) for m in months] + [(9, None, 1.0, day(1))]
+    rerun = [(a, m, t + (m == months[1] and a == 2), day(2) if m == months[1] else s) for a, m, t, s in rows if m != months[3]]
+    rerun += [(1, dt.date(2026, 9, 1), 5.0, day(1))]
+    for name, made in (("old", rows), ("new", rerun), ("again", rows[::-1])):
+        replace_table(spark.createDataFrame(made, columns), f"{database}.{name}", ["month_start_date"])
+    old, new, again = (spark.table(f"{database}.{n}") for n in ("old", "new", "again"))
+    drift = rerun_drift_by_period(old, new, "updated_at")
+    assert rows_of(drift) == rows_of(rerun_drift(old, new, "updated_at")) == [(9, 3, 1)]
+    assert {Path(f).parent.name for f in drift.inputFiles()} == {"month_start_date=2026-02-01"}
+    unchanged = rerun_drift_by_period(old, again, "updated_at")
+    assert rows_of(unchanged) == rows_of(rerun_drift(old, again, "updated_at")) == [(12, 0, 0)]
+    assert "Join" not in unchanged._jdf.queryExecution().executedPlan().toString()
+    empty = rerun_drift_by_period(old.limit(0), new.limit(0), "updated_at")
+    assert rows_of(empty) == [(0, 0, 0)]
+
+
 def snapshots(rng, n, ids):
     """Cumulative snapshots in which entries change balance, agent, product and month, come and go."""
     state = {}
