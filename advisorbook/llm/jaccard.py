@@ -16,7 +16,10 @@ in a first round each member meets its group's first member, and each group the
 most central group of similar size on each of its shingles, that with fewest rarer ones; copies
 with edits of their own differ less from it than from one another. A second round tries every remaining candidate pair
 that joins two different components of the first, so no link between components is lost. A
-link inside a component adds nothing to it and is not looked for.
+link inside a component adds nothing to it and is not looked for. In the second round a pair
+makes one row and hardly more, that of its first common shingle: an entry knows the few
+shingles before it, and two entries that share one of these meet earlier. On each shingle the most
+frequent component is only a partner of the others, never tried against itself.
 
 Components come from rounds of large-star and small-star steps, each written to the shared
 folder. Nothing but counts of a sketch and a bitmap, both of fixed size, comes to the driver; the
@@ -45,6 +48,7 @@ from advisorbook.session import cut_lineage
 WORDS, SHARE = 3, 90
 SKETCH_BITS = 20
 MARK_WORDS = 1 << 17
+BEFORE = 4
 _SLICE = 4 << 20
 # The bytes between words.
 _WHITE = np.zeros(256, bool)
@@ -281,9 +285,7 @@ class SimilarityJoin:
         counted = matches.groupBy("a", "b", "na", "nb").agg(
             F.count(F.lit(1)).alias("o"), F.max("pa").alias("pa"), F.max("pb").alias("pb")
         )
-        # A group of several components may meet another more than once on a shingle.
-        common = F.least("o", F.col("pa") + 1, F.col("pb") + 1)
-        most = common + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
+        most = F.col("o") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
         return counted.filter((100 + self.share) * most >= self.share * (F.col("na") + F.col("nb"))).select("a", "b")
 
     def _side(self, frame: DataFrame, side: str) -> DataFrame:
@@ -322,6 +324,23 @@ class SimilarityJoin:
         pairs = self._possible(met).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         return self._verified(inside.unionByName(pairs), "first")
 
+    def _mixed_entries(self, spans: DataFrame) -> DataFrame:
+        """Prefix shingles on which components of the first round meet.
+
+        With ``before``, the shingles just before it in the group's prefix, and ``off``, whether the group
+        lies outside the component that is most frequent on the shingle.
+        """
+        entries = self.entries.join(spans, "gid")
+        mixed = entries.groupBy("shingle").agg(F.min("lo").alias("x"), F.max("hi").alias("y")).filter("x < y").select("shingle")
+        entries = cut_lineage(entries.join(cut_lineage(mixed, "mixed"), "shingle", "left_semi"), "mixed-shingles")
+        roots = entries.groupBy("shingle", "lo").agg(F.count(F.lit(1)).alias("times"))
+        main = roots.groupBy("shingle").agg(F.max(F.struct("times", "lo")).alias("main")).select("shingle", F.col("main.lo").alias("main"))
+        prefixes = self.classes.select(F.col("cid").alias("gid"), "prefix")
+        before = F.slice("prefix", F.greatest(F.col("pos") - BEFORE + 1, F.lit(1)), F.least(F.col("pos"), F.lit(BEFORE)))
+        entries = entries.join(prefixes, "gid").withColumn("before", before).drop("prefix").join(main, "shingle")
+        off = (F.col("lo") != F.col("main")) | (F.col("hi") != F.col("main"))
+        return cut_lineage(entries.withColumn("off", off).drop("main"), "mixed-entries")
+
     def _second_round(self, roots: DataFrame) -> DataFrame:
         """Links between components of the first round."""
         rooted = cut_lineage(
@@ -330,24 +349,26 @@ class SimilarityJoin:
             ),
             "rooted",
         )
-        of_group = cut_lineage(rooted.select("gid", "root").distinct(), "group-roots")
-        entries = self.entries.join(of_group, "gid")
-        mixed = entries.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y")
-        entries = cut_lineage(entries.join(cut_lineage(mixed.select("shingle"), "mixed"), "shingle", "left_semi"), "mixed-entries")
-        on = entries.select("shingle", "root").distinct()
-        meets = on.withColumnRenamed("root", "ra").join(on.withColumnRenamed("root", "rb"), "shingle").filter("ra < rb")
-        side_a = self._side(entries.withColumnRenamed("root", "ra"), "a")
-        side_b = self._side(entries.withColumnRenamed("root", "rb"), "b")
-        met = meets.join(side_a, ["shingle", "ra"]).join(side_b, ["shingle", "rb"])
-        met = met.filter(self._sizes_fit("na", "nb") & (F.col("a") != F.col("b")))
-        turn = F.col("a") > F.col("b")
-        columns = [(F.when(turn, F.col(x + z)).otherwise(F.col(x + y))).alias(x + y) for x in ("n", "p") for y, z in ("ab", "ba")]
-        met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), *columns)
-        pairs = cut_lineage(self._possible(met), "group-pairs")
+        spans = cut_lineage(rooted.groupBy("gid").agg(F.min("root").alias("lo"), F.max("root").alias("hi")), "group-roots")
+        entries = self._mixed_entries(spans)
+        x, y = (entries.select("shingle", *(F.col(c).alias(c + z) for c in ("gid", "n", "pos", "lo", "hi", "off", "before"))) for z in "xy")
+        rest = F.least(F.col("nx") - F.col("posx"), F.col("ny") - F.col("posy"))
+        meet = (
+            (x["shingle"] == y["shingle"])
+            & (F.col("gidx") != F.col("gidy"))
+            & (~F.col("offy") | (F.col("gidx") < F.col("gidy")))
+            & ((F.col("lox") != F.col("hiy")) | (F.col("hix") != F.col("loy")))
+            & self._sizes_fit("nx", "ny")
+            # On the first common shingle all that is common is still to come; later ones need no row.
+            & ((100 + self.share) * rest >= self.share * (F.col("nx") + F.col("ny")))
+            & ~F.arrays_overlap("beforex", "beforey")
+        )
+        met = x.filter("offx").join(y, meet)
+        met = met.select(F.least("gidx", "gidy").alias("a"), F.greatest("gidx", "gidy").alias("b"))
+        pairs = cut_lineage(met.distinct(), "group-pairs")
         left = rooted.select(F.col("gid").alias("a"), F.col("cid").alias("x"), F.col("root").alias("rx"))
         right = rooted.select(F.col("gid").alias("b"), F.col("cid").alias("y"), F.col("root").alias("ry"))
-        several = of_group.groupBy("gid").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
-        within = several.select(F.col("gid").alias("a"), F.col("gid").alias("b"))
+        within = spans.filter("lo < hi").select(F.col("gid").alias("a"), F.col("gid").alias("b"))
         expanded = pairs.unionByName(within).join(left, "a").join(right, "b").filter("rx != ry")
         return self._verified(expanded.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), "second")
 

@@ -135,6 +135,22 @@ def test_jaccard_by_force(spark):
     assert sorted_tuples(jaccard.similar_components(documents(spark, rows))) == components_by_force(rows, 90, 3)
 
 
+def test_families_of_copies_that_are_just_not_similar(spark):
+    """Copies of one text about as far apart as the threshold: many components that share prefixes."""
+    rng = random.Random(11)
+    rows = []
+    for family in range(3):
+        base = [f"f{family}w{rng.randrange(400)}" for _ in range(150)]
+        for edits in range(60):
+            copy = list(base)
+            for at in rng.sample(range(150), edits % 6):
+                copy[at] = f"e{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(copy)))
+    wanted = components_by_force(rows, 90, 3)
+    assert 20 < len({c for _, _, c in wanted}) < len(rows)
+    assert sorted_tuples(jaccard.similar_components(documents(spark, rows))) == wanted
+
+
 def test_sketches_never_differ_more_than_their_sets():
     rng = np.random.default_rng(4)
     pool = rng.integers(0, 2**64, 3000, dtype=np.uint64)
