@@ -18,8 +18,8 @@ with edits of their own differ less from it than from one another. A second roun
 that joins two different components of the first, so no link between components is lost. A
 link inside a component adds nothing to it and is not looked for. In the second round a pair
 makes one row and hardly more, that of its first common shingle: an entry knows the few
-shingles before it, and two entries that share one of these meet earlier. On each shingle the most
-frequent component is only a partner of the others, never tried against itself.
+shingles before it, and two entries that share one of these meet earlier. On each shingle the
+component of least root, mostly the largest, is only a partner of the others.
 
 Components come from rounds of large-star and small-star steps, each written to the shared
 folder. Nothing but counts of a sketch and a bitmap, both of fixed size, comes to the driver; the
@@ -48,8 +48,8 @@ from advisorbook.session import cut_lineage
 WORDS, SHARE = 3, 90
 SKETCH_BITS = 20
 MARK_WORDS = 1 << 17
-BEFORE = 4
-_SLICE = 4 << 20
+BEFORE = 2
+_SLICE = 1 << 20
 # The bytes between words.
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
@@ -328,18 +328,16 @@ class SimilarityJoin:
         """Prefix shingles on which components of the first round meet.
 
         With ``before``, the shingles just before it in the group's prefix, and ``off``, whether the group
-        lies outside the component that is most frequent on the shingle.
+        lies outside the component of least root on the shingle, mostly the largest.
         """
         entries = self.entries.join(spans, "gid")
-        mixed = entries.groupBy("shingle").agg(F.min("lo").alias("x"), F.max("hi").alias("y")).filter("x < y").select("shingle")
-        entries = cut_lineage(entries.join(cut_lineage(mixed, "mixed"), "shingle", "left_semi"), "mixed-shingles")
-        roots = entries.groupBy("shingle", "lo").agg(F.count(F.lit(1)).alias("times"))
-        main = roots.groupBy("shingle").agg(F.max(F.struct("times", "lo")).alias("main")).select("shingle", F.col("main.lo").alias("main"))
+        mixed = entries.groupBy("shingle").agg(F.min("lo").alias("main"), F.max("hi").alias("most")).filter("main < most").drop("most")
+        off = (F.col("lo") != F.col("main")) | (F.col("hi") != F.col("main"))
+        entries = entries.join(cut_lineage(mixed, "mixed"), "shingle").withColumn("off", off).drop("main")
         prefixes = self.classes.select(F.col("cid").alias("gid"), "prefix")
         before = F.slice("prefix", F.greatest(F.col("pos") - BEFORE + 1, F.lit(1)), F.least(F.col("pos"), F.lit(BEFORE)))
-        entries = entries.join(prefixes, "gid").withColumn("before", before).drop("prefix").join(main, "shingle")
-        off = (F.col("lo") != F.col("main")) | (F.col("hi") != F.col("main"))
-        return cut_lineage(entries.withColumn("off", off).drop("main"), "mixed-entries")
+        entries = cut_lineage(entries, "mixed-shingles").join(prefixes, "gid").withColumn("before", before)
+        return cut_lineage(entries.drop("prefix"), "mixed-entries")
 
     def _second_round(self, roots: DataFrame) -> DataFrame:
         """Links between components of the first round."""
