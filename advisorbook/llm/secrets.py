@@ -6,8 +6,9 @@ version, spans): a row, also one without spans, says that this blob has been sca
 version of the rule. A scan reads only the pairs the ledger lacks, appends them, and joins
 the ledger's spans back to all paths. Raising a rule's version rescans for that rule alone.
 
-Spans are found by built-in functions: the text is split at the matches, and the lengths of
-pieces and matches add up to code-point offsets (ends exclusive). Matches are leftmost and
+Spans are found by built-in functions: the text is split at the matches, each piece becomes a
+row of two lengths, and a running sum over the blob's pieces gives code-point offsets (ends
+exclusive); the work grows in proportion to the text, however many matches it has. Matches are leftmost and
 do not overlap within a rule; a match that fails its rule's second condition is dropped and
 not tried again.
 
@@ -19,7 +20,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from advisorbook.llm.common import column, whole_text
@@ -57,36 +58,35 @@ def blob_of(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def match_spans(text: Column, rule: Rule) -> Column:
-    """Start and end of each of the rule's matches, in order."""
+def match_pieces(text: Column, rule: Rule) -> Column:
+    """The text cut at the rule's matches: lengths of gap and match after it, and whether the match passes."""
     pattern, keep = rule.pattern, rule.keep
     matches = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
     gaps = F.split(text, pattern, -1)
-    walk = F.aggregate(
+    pieces = F.transform(
         F.arrays_zip(gaps.alias("gap"), matches.alias("match")),
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:long,end:long,match:string>>").alias("found")),
-        lambda state, step: F.struct(
-            (state["at"] + F.length(step["gap"]) + F.coalesce(F.length(step["match"]), F.lit(0))).alias("at"),
-            F.when(step["match"].isNull(), state["found"]).otherwise(
-                F.concat(
-                    state["found"],
-                    F.array(
-                        F.struct(
-                            (state["at"] + F.length(step["gap"])).alias("start"),
-                            (state["at"] + F.length(step["gap"]) + F.length(step["match"])).alias("end"),
-                            step["match"].alias("match"),
-                        )
-                    ),
-                )
-            ).alias("found"),
+        lambda p: F.struct(
+            F.length(p["gap"]).cast("long").alias("gap"),
+            F.coalesce(F.length(p["match"]), F.lit(0)).cast("long").alias("length"),
+            F.coalesce(p["match"].rlike(f"^(?:{keep})$") if keep else p["match"].isNotNull(), F.lit(False)).alias("passed"),
         ),
-        lambda state: state["found"],
     )
-    passed = F.filter(walk, lambda m: m["match"].rlike(f"^(?:{keep})$")) if keep else walk
-    spans = F.transform(passed, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end")))
-    none = F.array().cast("array<struct<start:long,end:long>>")
+    zero = F.lit(0).cast("long")
+    none = F.array(F.struct(zero.alias("gap"), zero.alias("length"), F.lit(False).alias("passed")))
     possible = reduce(Column.__or__, [text.contains(n) for n in rule.needs]) if rule.needs else F.lit(True)
-    return F.when(possible & text.rlike(keep or pattern), spans).otherwise(none)
+    return F.when(possible & text.rlike(keep or pattern), pieces).otherwise(none)
+
+
+def spans_of(pieces: DataFrame) -> DataFrame:
+    """Ledger rows from (blob, rule, rule_version, pieces): a running sum of the lengths gives the offsets."""
+    rows = pieces.select("blob", "rule", "rule_version", F.posexplode("pieces").alias("k", "piece"))
+    so_far = Window.partitionBy("blob", "rule").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.sum(F.col("piece.gap") + F.col("piece.length")).over(so_far)
+    placed = rows.select(
+        "blob", "rule", "rule_version", "piece.passed", F.struct((end - F.col("piece.length")).alias("start"), end.alias("end")).alias("span")
+    )
+    spans = F.array_sort(F.collect_list(F.when(F.col("passed"), F.col("span"))))
+    return placed.groupBy("blob", "rule", "rule_version").agg(spans.alias("spans"))
 
 
 def read_ledger(spark: SparkSession, folder: str) -> DataFrame:
@@ -113,14 +113,13 @@ def scan_unseen(versions: DataFrame, ledger: DataFrame | None, rules: Sequence[R
                 F.lit(r.name).alias("rule"),
                 F.lit(r.version).alias("rule_version"),
                 F.when(
-                    F.array_contains(F.col("todo.rule"), r.name), match_spans(F.col("text"), r)
-                ).alias("spans"),
+                    F.array_contains(F.col("todo.rule"), r.name), match_pieces(F.col("text"), r)
+                ).alias("pieces"),
             )
             for r in rules
         )
     )
-    rows = once.select("blob", F.inline(found))
-    return rows.filter(F.col("spans").isNotNull())
+    return spans_of(once.select("blob", F.inline(found)).filter(F.col("pieces").isNotNull()))
 
 
 def scan(versions: DataFrame, folder: str, rules: Sequence[Rule] = RULES, path: str = "path", text: str = "text") -> DataFrame:
@@ -146,6 +145,9 @@ def findings(versions: DataFrame, ledger: DataFrame, rules: Sequence[Rule] = RUL
         present = present | ((F.col("rule") == r.name) & (F.col("rule_version") == r.version))
     spans = (
         ledger.filter(present & (F.size("spans") > 0))
+        # Two scans at once may have appended the same pair.
+        .groupBy("blob", "rule")
+        .agg(F.first("spans").alias("spans"))
         .withColumn("k", order)
         .withColumn("found", F.expr("transform(spans, s -> struct(s.start AS start, k AS k, s.end AS end, rule AS rule))"))
         .groupBy("blob")
