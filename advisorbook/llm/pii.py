@@ -7,6 +7,10 @@ run over the normalised forms and their spans are mapped back. An added span nev
 a base span and never lies inside one of its kind. No text is spared a transducer
 by a look that knows less than it does, so what is found never depends on unrelated text.
 
+An added span is certain or unsure. Prose holds what some disguises look like ("look at
+example.com", "version 1 . 2 . 3 . 4", "+49 151 2345678 acht Leute"); such readings are kept as
+spans and told apart, and ``mask`` leaves them alone (see ``is_certain``). Base spans are certain.
+
 Offsets are code points, ends exclusive. A null text is empty. Rows are read one by one, so
 repeated rows and further columns change nothing; an empty table gives no rows. Every
 detector passes over a text once, however long it is.
@@ -55,6 +59,13 @@ SPELLED = {
 AT_WORDS = "at|arobase|arroba|ät"
 DOT_WORDS = "dot|punkt|point|punto"
 
+# Top-level labels besides those of two letters, which are all countries'.
+TOP_LABELS = frozenset(
+    "com org net edu gov mil int info biz name pro dev app xyz online site tech cloud email test example".split()
+)
+# Two-letter labels that are English words, no sign of an address behind a spelled dot.
+WORD_LABELS = frozenset("am as at be by do in is it me my no so to us".split())
+
 Span = tuple[str, int, int]
 
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
@@ -196,16 +207,20 @@ _BRACKETS = re.compile(rf" ?[\[({{<] ?(?:(@|{AT_WORDS})|(\.|{DOT_WORDS})) ?[\])}
 _DOMAIN_NAME = rf"[A-Za-z0-9-]++(?:(?: (?:{DOT_WORDS}) |\.|_dot_)[A-Za-z0-9-]++)++"
 _AT_SIGN = rf"(?: (?:{AT_WORDS}) | ?@ ?|_at_)"
 _ANY_AT_DOMAIN = re.compile(_AT_SIGN + _DOMAIN_NAME, re.I)
-# What a sign follows at once is a local part and no domain: "me at john.doe@example.com".
-_AT_DOMAIN = re.compile(rf"{_AT_SIGN}{_DOMAIN_NAME}(?![A-Za-z0-9._%+-]*+@[A-Za-z0-9-])", re.I)
-_LAST_AT_DOMAIN = re.compile(rf"{_AT_SIGN}{_DOMAIN_NAME}(?![A-Za-z0-9._%+-]*+{_AT_SIGN}{_DOMAIN_NAME})", re.I)
-# Fixed value: a local part has at most 64 characters; its dots may be spelled.
-_LOCAL_REACH = 200
-_SPELLED_LOCAL = re.compile(rf"(?:[A-Za-z0-9._%+-]+ (?:{DOT_WORDS}) )+[A-Za-z0-9._%+-]+\Z", re.I)
+_AT_LABEL = re.compile("@[A-Za-z0-9-]")
+_LOCAL_RUN = re.compile("[A-Za-z0-9._%+-]*")
+_DOT_BEHIND = re.compile(rf" (?:{DOT_WORDS}) \Z", re.I)
+_LONGEST_DOT = max(map(len, DOT_WORDS.split("|"))) + 2
 _PLAIN_IP = re.compile(rf"(?<![0-9])[0-9]{{1,3}}(?: ?(?:\.|(?<= )(?:{DOT_WORDS})(?= )) ?[0-9]{{1,3}}){{3}}(?![0-9])", re.I)
 _SIGNS = re.compile(rf"(?: (?:{AT_WORDS}) | ?@ ?|_at_)|( (?:{DOT_WORDS}) |_dot_)", re.I)
 _DOTS = re.compile(rf" ?(?:\.|(?:{DOT_WORDS})) ?", re.I)
 _DIGIT = re.compile("[0-9]")
+# A sign that prose has as well: "at" or a sign with spaces around.
+_PROSE_AT = re.compile(r" at | @|@ ", re.I)
+_OTHER_AT = re.compile(r" (?:arobase|arroba|ät) ", re.I)
+_SPELLED_DOT = re.compile(r" dot |_dot_", re.I)
+_LIKE_LOCAL = re.compile(r"(?=.*[A-Za-z])(?:.*[0-9]|.*[A-Za-z0-9][._+][A-Za-z0-9])")
+_EDGE_WORDS = re.compile(rf"(?:[ ,-]*(?:{_NUMBER})){{1,2}}\Z", re.I)
 # Anything but ASCII and the letters of Latin scripts, which look like themselves.
 _STRANGE = re.compile("[^\x00-\x7f\xa1-\xac\xae-\u0130\u0132-\u024f]")
 
@@ -241,25 +256,48 @@ def _spelled(text: str) -> list[list[tuple[int, int, str]]]:
     return [few] if few == every else [few, every]
 
 
+def _at_domains(text: str, behind: re.Pattern) -> Iterator[re.Match]:
+    """Signs with a domain; what ``behind`` follows is a local part and no domain ("me at john.doe@example.com")."""
+    end, follows = -1, False
+    for m in _ANY_AT_DOMAIN.finditer(text):
+        if m.end() > end:
+            end = _LOCAL_RUN.match(text, m.end()).end()
+            follows = behind.match(text, end) is not None
+        if not follows:
+            yield m
+
+
+def _spelled_dots(text: str, floor: int, end: int) -> list[tuple[int, int, str]]:
+    """Dots for the dot words of the local part that ends at ``end``, seeking back to the sign before."""
+    edits, at = [], end
+    while True:
+        while at > floor and text[at - 1] in _LOCAL_CHARS:
+            at -= 1
+        m = _DOT_BEHIND.search(text, max(floor, at - _LONGEST_DOT), at)
+        if m is None or m.start() <= floor or text[m.start() - 1] not in _LOCAL_CHARS:
+            return edits
+        edits.append((*m.span(), "."))
+        at = m.start()
+
+
 def _signs(text: str) -> list[list[tuple[int, int, str]]]:
     """Signs for bare at and dot words, where an address or a number stands around them.
 
     Of several at words in a row, first the first is read, then, if there are any, the last.
     """
-    numbers = []
+    numbers: list[tuple[int, int, str]] = []
     for m in _PLAIN_IP.finditer(text) if _DIGIT.search(text) else ():
         numbers += [(*s.span(), ".") for s in _DOTS.finditer(text, *m.span()) if s[0] != "."]
     if not _ANY_AT_DOMAIN.search(text):
         return [numbers]
     choices = []
-    for at_domain in (_AT_DOMAIN, _LAST_AT_DOMAIN):
-        edits = list(numbers)
-        for m in at_domain.finditer(text):
+    for behind in (_AT_LABEL, _ANY_AT_DOMAIN):
+        edits, floor = list(numbers), 0
+        for m in _at_domains(text, behind):
             if m.start() == 0 or text[m.start() - 1] not in _LOCAL_CHARS:
                 continue
-            reach = max(0, m.start() - _LOCAL_REACH)
-            if local := _SPELLED_LOCAL.search(text[reach : m.start()]):
-                edits += [(*s.span(), ".") for s in _SIGNS.finditer(text, reach + local.start(), m.start()) if s[1]]
+            edits += _spelled_dots(text, floor, m.start())
+            floor = m.start()
             edits += [(*s.span(), "." if s[1] else "@") for s in _SIGNS.finditer(text, *m.span())]
         edits.sort()
         apart, done = [], 0
@@ -292,22 +330,74 @@ def normalise(text: str) -> list[Tracked]:
     return [form for form in forms.values() if form is not None]
 
 
-def find_all(text: str) -> tuple[list[Span], list[Span]]:
-    """Base spans, and all spans with those found under disguises."""
+def is_certain(kind: str, shown: str, plain: str, beyond: str | None) -> bool:
+    """Whether a disguised span is more than a way of putting ordinary prose.
+
+    ``shown`` is the span in the source, ``plain`` its normal form, ``beyond`` what it has behind
+    a base span of its kind at the same start, if there is one.
+
+    * email: a bracketed, attached or look-alike sign is certain. A bare "at", or a sign among
+      spaces, needs a lower-case domain with a known top-level label and either a local part with
+      a digit or an inner dot, underscore or plus beside letters, or a spelled "dot".
+    * ip: spaced or spelled dots need a part of three digits; bracketed dots and look-alikes none.
+    * phone, card: one or two number words that only follow a numeral may count what comes next
+      ("+49 151 2345678 acht Leute"). They are unsure behind a base span, and in a phone always;
+      a card that is one only with them has its check digit for it.
+    """
+    folded = _BRACKETS.sub(lambda m: "@" if m[1] else ".", _INVISIBLE.sub("", shown.translate(_FOLD)))
+    if kind == "email":
+        local, _, domain = plain.partition("@")
+        top = domain.rpartition(".")[2]
+        known = domain == domain.lower() and (top in TOP_LABELS or len(top) == 2 and top.isalpha())
+        if _OTHER_AT.search(folded):
+            return known
+        if not _PROSE_AT.search(folded):
+            return True
+        spelled = bool(_SPELLED_DOT.search(folded)) and top not in WORD_LABELS
+        return known and (spelled or bool(_LIKE_LOCAL.match(local)))
+    if kind == "ip":
+        return " " not in folded or any(len(part) == 3 for part in plain.split("."))
+    if beyond is not None:
+        return not _EDGE_WORDS.fullmatch(beyond)
+    if kind == "phone" and (edge := _EDGE_WORDS.search(folded)):
+        return _has_number_word(folded[: edge.start()])
+    return True
+
+
+def graded(text: str) -> tuple[list[Span], dict[Span, bool]]:
+    """Base spans, and all spans with whether each is certain; found twice, the surer reading counts."""
     base = detect(text)
-    spans = set(base)
+    spans = dict.fromkeys(base, True)
+    of_kind = {kind: [(start, end) for k, start, end in base if k == kind] for kind in KINDS}
     for plain in normalise(text):
         for kind, start, end in detect(plain.text):
             first, last = plain.source(start, end)
-            if not any(k == kind and s <= first and last <= e for k, s, e in base):
-                spans.add((kind, first, last))
-    return base, sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
+            k = bisect_right(of_kind[kind], first, key=lambda s: s[0]) - 1
+            start_of_base, end_of_base = of_kind[kind][k] if k >= 0 else (-1, -1)
+            if last <= end_of_base:
+                continue
+            span = (kind, first, last)
+            if not spans.get(span, False):
+                beyond = text[end_of_base:last] if start_of_base == first else None
+                spans[span] = is_certain(kind, text[first:last], plain.text[start:end], beyond)
+    return base, spans
+
+
+def _in_order(spans: Iterable[Span]) -> list[Span]:
+    return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
+
+
+def find_all(text: str) -> tuple[list[Span], list[Span]]:
+    """Base spans, and all spans with those found under disguises, unsure ones too."""
+    base, spans = graded(text)
+    return base, _in_order(spans)
 
 
 def mask(text: str) -> str:
-    """The text with each span replaced by its kind in angle brackets; overlapping spans as one."""
+    """The text with each certain span replaced by its kind in angle brackets; overlapping spans as one."""
     out, done, open_kind, open_end = [], 0, None, 0
-    for kind, start, end in [*find_all(text)[1], ("", len(text) + 1, len(text) + 1)]:
+    certain = _in_order(span for span, sure in graded(text)[1].items() if sure)
+    for kind, start, end in [*certain, ("", len(text) + 1, len(text) + 1)]:
         if open_kind is not None and start < open_end:
             open_end = max(open_end, end)
             continue
@@ -346,17 +436,19 @@ def joined(spans: list[Span]) -> str:
 
 
 def find_private(docs: DataFrame) -> DataFrame:
-    """A row per document: base counts and digest, and all spans."""
+    """A row per document: base counts and digest, all spans, and those of them that are unsure."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [find_all(t or "") for t in batch.column(1).to_pylist()]
+            found = [graded(t or "") for t in batch.column(1).to_pylist()]
+            every = [joined(_in_order(s)) for _, s in found]
+            unsure = [joined(_in_order(span for span, sure in s.items() if not sure)) for _, s in found]
             counts = [pa.array([sum(s[0] == kind for s in base) for base, _ in found], pa.int64()) for kind in KINDS]
             digests = [hashlib.sha256(joined(base).encode()).hexdigest() for base, _ in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *counts, pa.array(digests, pa.string()), pa.array([joined(s) for _, s in found], pa.string())],
-                ["doc_id", *(f"n_{kind}" for kind in KINDS), "base_sha256", "spans"],
+                [batch.column(0), *counts, *(pa.array(told, pa.string()) for told in (digests, every, unsure))],
+                ["doc_id", *(f"n_{kind}" for kind in KINDS), "base_sha256", "spans", "unsure_spans"],
             )
 
-    schema = "doc_id long, " + ", ".join(f"n_{kind} long" for kind in KINDS) + ", base_sha256 string, spans string"
+    schema = "doc_id long, " + ", ".join(f"n_{kind} long" for kind in KINDS) + ", base_sha256 string, spans string, unsure_spans string"
     return docs.select(column("doc_id"), column("text")).mapInArrow(run, schema)
