@@ -6,11 +6,15 @@ corpus lacks cannot occur and is dropped. The index stores the postings of the s
 word, document, position, and the words around it, which are the postings of all other terms
 at their offsets from the seed. A window is found where the list of its seed, shifted by the
 seed's place in the window, meets the lists of its other words; that intersection is one join
-on the window's words read off at the shifted place. Positions where two different seeds of
-an item stand within ``NEAR`` words are its proximity matches.
+on the window's words read off at the shifted place.
+
+Proximity matches find reworded items. The marks of a window are its ``MARKS`` rarest words that
+the corpus holds, whether or not it holds the others; where two different marks of an item stand
+within ``NEAR`` words, the document comes near the item. So an exact copy of an item with two
+different words always comes near it. Postings of marks that are no seeds carry no words around.
 
 The corpus is read twice, to count the test words and to store postings; both times its
-words meet a table that is small where it fits ``BROADCAST_ROWS`` and is shuffled otherwise,
+words meet a table that is broadcast where it fits ``BROADCAST_BYTES`` and is shuffled otherwise,
 so nothing but counts, postings and matches is moved. The hits of a document are at most its
 words; no group is larger.
 
@@ -29,7 +33,9 @@ from advisorbook.session import cut_lineage
 
 WINDOW = 10
 NEAR = 20
-BROADCAST_ROWS = 200_000
+MARKS = 2
+BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 64
 # What is no word, after lower-casing A-Z.
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -49,15 +55,17 @@ def test_windows(benchmark: DataFrame, item: str = "item_id", text: str = "text"
     return windows.distinct().withColumn("n", F.size("words"))
 
 
-def _bounded(table: DataFrame, rows: int) -> DataFrame:
-    """The table, to be broadcast where its counted rows are within the bound."""
-    return F.broadcast(table) if rows <= BROADCAST_ROWS else table
+def _bounded(table: DataFrame) -> DataFrame:
+    """The table, to be broadcast where its measured text and ``ROW_BYTES`` a row are within the bound."""
+    told = F.concat_ws(",", *(F.col(c).cast("string") for c in table.columns))
+    size = table.agg(F.sum(F.octet_length(told) + ROW_BYTES)).first()[0] or 0
+    return F.broadcast(table) if size <= BROADCAST_BYTES else table
 
 
 def word_counts(docs: DataFrame, vocabulary: DataFrame, text: str = "text") -> DataFrame:
     """How often each word of ``vocabulary`` (column ``word``) stands in the corpus."""
     words = docs.select(F.explode(words_of(whole_text(text))).alias("word"))
-    return words.join(_bounded(vocabulary, vocabulary.count()), "word").groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    return words.join(_bounded(vocabulary), "word").groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
 def seeds(windows: DataFrame, counts: DataFrame) -> DataFrame:
@@ -70,28 +78,39 @@ def seeds(windows: DataFrame, counts: DataFrame) -> DataFrame:
     return best.filter(F.col("least") > 0).select("words", "n", F.col("seed.word").alias("word"), F.col("seed.place").alias("place"))
 
 
-def index_postings(docs: DataFrame, seeded: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The seeds' postings: word, document (``doc_id``, ``h``), position, and the words around it.
+def marks(windows: DataFrame, counts: DataFrame) -> DataFrame:
+    """A row per item and mark of any of its windows: item, word."""
+    words = windows.select("words").distinct().select("words", F.explode(F.array_distinct("words")).alias("word"))
+    rarest = words.join(counts, "word").groupBy("words").agg(
+        F.slice(F.array_sort(F.collect_list(F.struct("count", "word"))), 1, MARKS).alias("rarest")  # of at most 10 words
+    )
+    of = rarest.select("words", F.explode("rarest.word").alias("word")).join(windows.select("words", "item"), "words")
+    return of.select("item", "word").distinct()
+
+
+def index_postings(
+    docs: DataFrame, seeded: DataFrame, marked: DataFrame, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The postings of seeds and marks: word, document (``doc_id``, ``h``), position, and the words around seeds.
 
     ``before`` is how many of ``around`` stand before the seed; at most 9 on either side.
     """
-    seed_words = seeded.select("word").distinct()
+    wanted = seeded.select("word", F.lit(True).alias("is_seed")).union(marked.select("word", F.lit(False)))
+    wanted = wanted.groupBy("word").agg(F.max("is_seed").alias("is_seed"))
     rows = docs.select(column(key).alias("doc_id"), text_key(text).alias("h"), words_of(whole_text(text)).alias("w"))
-    found = rows.select("doc_id", "h", "w", F.posexplode("w").alias("position", "word")).join(
-        _bounded(seed_words, seed_words.count()), "word"
-    )
+    found = rows.select("doc_id", "h", "w", F.posexplode("w").alias("position", "word")).join(_bounded(wanted), "word")
     first = F.greatest(F.col("position") - (WINDOW - 1), F.lit(0))
     return found.select(
         "word", "doc_id", "h", "position",
         (F.col("position") - first).alias("before"),
-        F.slice("w", first + 1, F.col("position") - first + WINDOW).alias("around"),
+        F.when(F.col("is_seed"), F.slice("w", first + 1, F.col("position") - first + WINDOW)).alias("around"),
     )
 
 
 def phrase_matches(postings: DataFrame, seeded: DataFrame) -> DataFrame:
     """Where windows occur: doc_id, h, start, n, words."""
     shifts = seeded.groupBy("word").agg(F.collect_set(F.struct("place", "n")).alias("shifts"))  # at most 100 a word
-    shifted = postings.join(_bounded(shifts, shifts.count()), "word").select(
+    shifted = postings.filter(F.col("around").isNotNull()).join(_bounded(shifts), "word").select(
         "doc_id", "h", "position", "before", "around", F.explode("shifts").alias("shift")
     )
     place, n, before = F.col("shift.place"), F.col("shift.n"), F.col("before")
@@ -101,14 +120,13 @@ def phrase_matches(postings: DataFrame, seeded: DataFrame) -> DataFrame:
         F.slice("around", before - place + 1, n).alias("words"),
     )
     distinct = seeded.select("words")
-    return candidates.join(_bounded(distinct, distinct.count()), "words").distinct()
+    return candidates.join(_bounded(distinct), "words").distinct()
 
 
-def near_items(postings: DataFrame, seeded: DataFrame, windows: DataFrame, near: int = NEAR) -> DataFrame:
-    """Per document, the items of which two different seeds stand within ``near`` words."""
-    of = seeded.join(windows, ["words", "n"]).select("word", "item").distinct()
-    # Each item's seeds meet in the document's own order of positions.
-    by_item = postings.select("doc_id", "h", "position", "word").join(of, "word")
+def near_items(postings: DataFrame, marked: DataFrame, near: int = NEAR) -> DataFrame:
+    """Per document, the items of which two different marks stand within ``near`` words."""
+    # Each item's marks meet in the document's own order of positions.
+    by_item = postings.select("doc_id", "h", "position", "word").join(_bounded(marked), "word")
     order = Window.partitionBy("doc_id", "h", "item").orderBy("position")
     last = by_item.select(
         "doc_id", "h", "item", "position", "word", F.lag("position").over(order).alias("p"), F.lag("word").over(order).alias("v")
@@ -138,10 +156,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id
     """A row per hit document: doc_id, h, n_hit, items, near_items (how many items come near)."""
     windows = cut_lineage(test_windows(benchmark), "test-windows")
     vocabulary = windows.select(F.explode("words").alias("word")).distinct()
-    seeded = cut_lineage(seeds(windows, word_counts(docs, vocabulary, text)), "test-seeds")
-    postings = cut_lineage(index_postings(docs, seeded, key, text), "postings")
+    counts = cut_lineage(word_counts(docs, vocabulary, text), "test-word-counts")
+    seeded = cut_lineage(seeds(windows, counts), "test-seeds")
+    marked = cut_lineage(marks(windows, counts), "test-marks")
+    postings = cut_lineage(index_postings(docs, seeded, marked, key, text), "postings")
     matches = cut_lineage(phrase_matches(postings, seeded), "matches")
-    near = near_items(postings, seeded, windows).groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("near_items"))
+    near = near_items(postings, marked).groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("near_items"))
     hits = covered_words(matches)
     items = matched_items(matches, windows)
     return _same_document(_same_document(hits, items), near, "full").select(

@@ -72,13 +72,12 @@ found as (
   from (select distinct doc_id, item_id::varchar as item from hits) group by doc_id),
 tokens as (select doc_id, unnest(w) as word, unnest(range(0, len(w))) as place from words),
 counts as (select word, count(*) as times from tokens group by word),
-terms as (select p, unnest(p) as word, unnest(range(0, len(p))) as shift from (select distinct p from windows)),
-seeds as (
-  select p, arg_min(word, (times, word, shift)) as word from terms left join counts using (word)
-  group by p having count(times) = count(*)),
+terms as (select distinct p, word from (select p, unnest(p) as word from (select distinct p from windows))),
+rarest as (
+  select p, word from terms join counts using (word) qualify row_number() over (partition by p order by times, word) <= 2),
 marks as (
   select doc_id, item_id, word, place, lag(word) over w as word_before, lag(place) over w as place_before
-  from tokens join (select distinct item_id, word from seeds join windows using (p)) using (word)
+  from tokens join (select distinct item_id, word from rarest join windows using (p)) using (word)
   window w as (partition by doc_id, item_id order by place)),
 near as (
   select doc_id, count(distinct item_id) as n_near_items from marks

@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
@@ -490,6 +490,41 @@ def test_chats_round_trip(spark):
         assert r["loss_chars"] == len(said) and r["loss_sha256"] == hashlib.sha256(said.encode()).hexdigest()
 
 
+def near_by_force(rows, items, near=20):
+    """Per document, the items of which two different marks stand within ``near`` words."""
+    split = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    texts = [split.findall((t or "").translate(LOWER)) for _, t in rows]
+    times = Counter(w for t in texts for w in t)
+    marks = defaultdict(set)
+    for k, t in items:
+        w = split.findall((t or "").translate(LOWER))
+        for i in range(max(1, len(w) - 9) if w else 0):
+            known = {v for v in w[i : i + 10] if v in times}
+            marks[str(k)].update(sorted(known, key=lambda v: (times[v], v))[:2])
+    counts = []
+    for w in texts:
+        counts.append(sum(
+            any(w[i] in m and w[j] in m and w[i] != w[j] for i in range(len(w)) for j in range(i + 1, min(len(w), i + near + 1)))
+            for m in marks.values()
+        ))
+    return counts
+
+
+def test_proximity_of_reworded_items(spark):
+    item = "alpha bravo charlie delta echo foxtrot golf hotel india juliet"
+    items = [(1, item), (2, "solo"), (3, "never seen words here"), (4, "alpha unseen juliet"), (5, None)]
+    rows = [
+        *ODD, (60, item), (61, item.replace(" ", " and ")), (62, f"alpha {'x ' * 30} juliet"), (63, "solo solo"),
+        (64, "juliet x x alpha"), (65, f"{'words ' * 3} {'x ' * 19} here"),
+    ]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = [(r["doc_id"], r["n_near_items"]) for r in contamination.judge(documents(spark, rows), benchmark).collect()]
+    wanted = [(d, n) for (d, _), n in zip(rows, near_by_force(rows, items), strict=True)]
+    assert sorted(got, key=repr) == sorted(wanted, key=repr)
+    near = dict(wanted)
+    assert near[60] >= 1 and near[61] >= 1 and near[64] >= 1 and near[63] == 0
+
+
 def test_contamination_by_force(spark):
     rng = random.Random(6)
     words = [f"W{i % 40}é" for i in range(400)]
@@ -518,10 +553,11 @@ def test_contamination_by_force(spark):
         wanted.append((d, len(w), len(hit), len(found), told, bool(hit)))
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     frame = documents(spark, rows)
-    got = contamination.judge(frame, benchmark).drop("n_near_items")
+    wanted = [(*w, n) for w, n in zip(wanted, near_by_force(rows, items), strict=True)]
+    got = contamination.judge(frame, benchmark)
     assert sorted_tuples(got) == sorted(wanted, key=repr)
     clean = contamination.drop_contaminated(frame, benchmark)
-    assert clean.columns == frame.columns and clean.count() == sum(not w[-1] for w in wanted)
+    assert clean.columns == frame.columns and clean.count() == sum(not w[5] for w in wanted)
 
 
 @pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="no test tables")
