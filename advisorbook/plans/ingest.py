@@ -9,7 +9,14 @@ from pyspark.sql.types import DataType
 from advisorbook.contracts import PORTFOLIO_HISTORY, SNAPSHOT_DATE
 from advisorbook.operators.checks import require_rows
 from advisorbook.sources.snapshots import FROM_FILE, list_snapshots, read_master, read_snapshots
-from advisorbook.sources.tables import add_new_columns, as_stored, column_types, replace_partitions, replace_table
+from advisorbook.sources.tables import (
+    add_new_columns,
+    as_stored,
+    column_types,
+    replace_counted,
+    replace_partitions,
+    replace_table,
+)
 
 
 def rebuild_history(
@@ -21,18 +28,18 @@ def rebuild_history(
     date_from: str = FROM_FILE,
     heads: str | None = None,
 ) -> DataFrame:
-    """Drop the history and load every snapshot in the folder. Returns the load metrics.
+    """Load every snapshot in the folder into a new history. Returns the load metrics.
 
-    Each task writes straight into the partition of its file's date: no shuffle.
+    Each task writes straight into the partition of its file's date: no shuffle. Files without
+    any row fail before the old history goes.
     """
     files = list_snapshots(spark, folder, glob, date_from)
     rows = read_snapshots(spark, files, contract, heads=heads)
     if rows is None:
         raise ValueError(f"No snapshot rows in {folder}")
+    require_rows(rows, table)
     replace_table(rows, table, [SNAPSHOT_DATE])
-    history = spark.table(table)
-    require_rows(history, table)
-    return load_metrics(history, files)
+    return load_metrics(spark.table(table), files)
 
 
 def load_new_dates(
@@ -66,12 +73,11 @@ def load_new_dates(
 def load_master(
     spark: SparkSession, path: str, table: str, contract: Mapping[str, DataType]
 ) -> int | None:
-    """Drop and reload a master table; its row count, or None when the file is missing."""
+    """Replace a master table; its rows, counted by the write, or None when the file is missing."""
     rows = read_master(spark, path, contract)
     if rows is None:
         return None
-    replace_table(rows, table)
-    return spark.table(table).count()
+    return replace_counted(rows, table)
 
 
 def load_metrics(history: DataFrame, files: DataFrame | None = None) -> DataFrame:

@@ -3,7 +3,7 @@
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, DoubleType, LongType, StringType, StructType
 
@@ -80,6 +80,13 @@ def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -
     df.write.mode("overwrite").partitionBy(*partition_by).format("parquet").saveAsTable(table)
 
 
+def replace_counted(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> int:
+    """Like ``replace_table``; returns the number of rows, observed while they are written."""
+    written = Observation()
+    replace_table(df.observe(written, F.count(F.lit(1)).alias("rows")), table, partition_by)
+    return written.get.get("rows", 0)
+
+
 def create_partitioned(spark: SparkSession, table: str, schema: StructType, partition: str) -> None:
     """An empty table, so that later steps only replace partitions."""
     empty = spark.createDataFrame([], schema)

@@ -509,6 +509,9 @@ select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedpri
   cast(date_trunc('year', l_shipdate) as date) as snapshot_date,
   cast(date_trunc('year', l_shipdate) as timestamp) as ingested_at
 from lineitem""",
+    "reload_master": """
+select c_custkey, c_name, c_nationkey, c_acctbal + 1 as c_acctbal, c_mktsegment, count(*) over () as rows_loaded
+from customer""",
     "ingest_metrics": """
 select cast(l_shipdate as date) as snapshot_date, count(*) as rows_input
 from lineitem group by cast(l_shipdate as date)""",

@@ -29,7 +29,7 @@ from advisorbook.operators.reconcile import (
 from advisorbook.plans import kpis as kpi_plans
 from advisorbook.plans.changes import MaintainedFact, MaintainedReport
 from advisorbook.plans.dimensions import agent_activity, dim_agent, dim_customer, dim_product
-from advisorbook.plans.ingest import load_metrics, load_new_dates, rebuild_history
+from advisorbook.plans.ingest import load_master, load_metrics, load_new_dates, rebuild_history
 from advisorbook.plans.performance import (
     monthly_performance,
     top_agents_latest_month,
@@ -527,6 +527,15 @@ CSV_CONTRACT = {
 }
 
 
+MASTER_CONTRACT = {
+    "c_custkey": LongType(),
+    "c_name": StringType(),
+    "c_nationkey": IntegerType(),
+    "c_acctbal": DoubleType(),
+    "c_mktsegment": StringType(),
+}
+
+
 @query("ingest_snapshots")
 def ingest_snapshots(spark: SparkSession, d: str) -> DataFrame:
     """Line items as yearly CSV snapshots, with one more column from 1999, and back."""
@@ -543,6 +552,19 @@ def ingest_snapshots(spark: SparkSession, d: str) -> DataFrame:
     return spark.table(name)
 
 
+@query("reload_master")
+def reload_master(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as master files, loaded twice with other balances, with the rows the second load counted."""
+    database, folder = _database(spark, "master")
+    name = f"{database}.customers"
+    customers = tb.table(spark, d, "customer")
+    for k in range(2):
+        sent = customers.withColumn("c_acctbal", F.col("c_acctbal") + k)
+        sent.write.option("header", True).csv(f"{folder}/customers_{k}")
+        rows = load_master(spark, f"{folder}/customers_{k}", name, MASTER_CONTRACT)
+    return spark.table(name).withColumn("rows_loaded", F.lit(rows).cast("long"))
+
+
 @query("ingest_metrics")
 def ingest_metrics(spark: SparkSession, d: str) -> DataFrame:
     lines = tb.table(spark, d, "lineitem")

@@ -20,6 +20,7 @@ from advisorbook.sources.tables import (
     create_database,
     merge_table,
     read_table,
+    replace_counted,
     replace_table,
     table_schema,
 )
@@ -292,6 +293,36 @@ def test_master_is_replaced_and_a_missing_one_skipped(spark, tmp_path, database)
     assert read_master(spark, str(tmp_path / "none.csv"), CONTRACT) is None
 
 
+def test_rows_are_counted_by_the_write_itself(spark, tmp_path, database):
+    table = f"{database}.counted"
+    rows = spark.range(1000).withColumn("part", F.col("id") % 7)
+
+    def jobs(group, load):
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            assert load() in (None, 1000)
+        finally:
+            spark.sparkContext._jsc.clearJobGroup()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    plain = jobs(f"{table}-plain", lambda: replace_table(rows, f"{database}.plain", ["part"]))
+    for k in range(2):
+        assert jobs(f"{table}-{k}", lambda: replace_counted(rows, table, ["part"])) == plain
+    assert spark.table(table).count() == 1000 and spark.catalog.listColumns(table)[-1].isPartition
+    empty = write(tmp_path, "empty.csv", "id,name,kind\n")
+    assert load_master(spark, empty, table, CONTRACT) == 0 and spark.table(table).columns == ["id", "name", "kind"]
+
+
+def test_files_without_rows_leave_the_old_history(spark, tmp_path, database):
+    table = f"{database}.history"
+    write(tmp_path / "in", "s_2026-01-10.csv", "id,name\n1,a\n")
+    rebuild_history(spark, str(tmp_path / "in"), table, CONTRACT)
+    write(tmp_path / "none", "s_2026-01-11.csv", "id,name\n")
+    with pytest.raises(ValueError, match="no rows|No snapshot rows"):
+        rebuild_history(spark, str(tmp_path / "none"), table, CONTRACT)
+    assert rows_of(spark.table(table), "id", "name") == [(1, "a")]
+
+
 def test_append_adds_columns_and_skips_empty_frames(spark, database):
     table = f"{database}.t"
     assert len(table_schema(spark, table)) == 0
