@@ -50,6 +50,7 @@ SKETCH_BITS = 20
 MARK_WORDS = 1 << 17
 BEFORE = 2
 _SLICE = 1 << 20
+_LEAST_TASKS, _TASK_EDGES = 32, 50_000
 # The bytes between words.
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
@@ -227,24 +228,29 @@ def _verify(words: int, share: int) -> Callable:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``node``, ``root`` (the least node of its component) for the nodes of links ``a``, ``b``."""
+    """``node``, ``root`` (the least node of its component) for the nodes of links ``a``, ``b``.
+
+    Ends at the first round whose edges are stars already. The tasks that write a round go by its edges, so
+    that few edges do not cost a full set of shuffle partitions at each step.
+    """
     edges = cut_lineage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct(), "edges")
-    before = None
     while True:
+        tasks = max(_LEAST_TASKS, edges.count() // _TASK_EDGES)
         # Large star: larger neighbours of a node go to the least of its neighbourhood.
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = cut_lineage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = cut_lineage(large, "large-star")
+        least = both.groupBy("u").agg(
+            F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n"), F.count_if(F.col("v") < F.col("u")).alias("below")
+        )
+        least = cut_lineage(least.coalesce(tasks), "least")
+        if least.filter("below > 0 AND n > 1").isEmpty():  # each node has its root as only neighbour
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        large = both.filter("v > u").join(least.select("u", "m"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = cut_lineage(large.coalesce(tasks), "large-star")
         # Small star: a node and its smaller neighbours go to the least of them.
-        least = cut_lineage(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        least = cut_lineage(large.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks), "least")
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).filter("u > v").distinct()
-        edges = cut_lineage(small, "edges")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = now
+        edges = cut_lineage(small.coalesce(tasks), "edges")
 
 
 class SimilarityJoin:

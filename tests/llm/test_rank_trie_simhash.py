@@ -12,7 +12,9 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from advisorbook.llm import ranked_search, simhash, turn_trie
+from advisorbook.llm import jaccard, ranked_search, simhash, turn_trie
+from advisorbook.session import cut_lineage
+from advisorbook.sources.tables import setting
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 ODD = [(1, None), (2, ""), (3, " \n\t "), (None, "one two three"), (4, "one two three"), (4, "other words here now"), (4, "one two three"), (None, None)]
@@ -261,3 +263,25 @@ def test_tries_keep_every_link(monkeypatch, pairs):
             break
         reach = low
     assert len(set(label)) == len(set(reach))
+
+
+def test_components_end_at_stars_in_few_tasks(spark, monkeypatch):
+    """A chain and a star: each step writes few files however many shuffle partitions, and no round follows the last change."""
+    written = []
+
+    def kept(df, name):
+        found = cut_lineage(df, name)
+        written.append((name, len(found.inputFiles())))
+        return found
+
+    monkeypatch.setattr(jaccard, "cut_lineage", kept)
+    star = [(1000, k) for k in range(1001, 1400)]
+    with setting(spark, "spark.sql.shuffle.partitions", "64"), setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        found = jaccard.components(spark.createDataFrame(star, "a long, b long"))
+        assert sorted_tuples(found) == sorted(((b, a) for a, b in star), key=repr)
+    assert [n for n, _ in written] == ["edges", "least"]
+    chain = [(k, k + 1) for k in range(400)]
+    with setting(spark, "spark.sql.shuffle.partitions", "64"), setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        found = jaccard.components(spark.createDataFrame(chain + star, "a long, b long"))
+        assert sorted_tuples(found) == sorted([(k, 0) for k in range(1, 401)] + [(b, a) for a, b in star], key=repr)
+    assert max(files for name, files in written[3:]) <= 32
