@@ -76,18 +76,25 @@ def version_changes(
 ) -> DataFrame:
     """What ``upsert_latest`` does to each key: its other columns ``before`` (NULL: none) and ``after``.
 
-    Both sides hold a key once and have the same columns.
+    The target holds a key once, the source may hold it several times; both have the same columns.
     """
-    leading = [version, "_incoming", *(c for c in tiebreak if c not in keys)]
     data = [c for c in target.columns if c not in keys]
-    rest = [c for c in data if c not in leading]
+    leading = [version, *(c for c in tiebreak if c not in keys)]
+    ordered = leading + [c for c in data if c not in leading]
     both = target.withColumn("_incoming", F.lit(0)).unionByName(source.withColumn("_incoming", F.lit(1)))
-    found = both.groupBy(*keys).agg(
-        F.max(F.when(F.col("_incoming") == 0, F.struct(*data))).alias("before"),
-        F.max(F.struct(*leading, *rest)).alias("_newest"),
-    )
-    after = F.struct(*[F.col("_newest")[c].alias(c) for c in data])
-    return found.select(*keys, "before", after.alias("after"))
+
+    def side(incoming: int) -> Column:
+        return F.max(F.when(F.col("_incoming") == incoming, F.struct(*ordered)))
+
+    found = both.groupBy(*keys).agg(side(0).alias("_was"), side(1).alias("_now"))
+    was, now = F.col("_was"), F.col("_now")
+    stays = now.isNull() | F.coalesce(was[version] > now[version], was[version].isNotNull() & now[version].isNull() & was.isNotNull())
+
+    def row(side: Column) -> Column:
+        return F.when(side.isNotNull(), F.struct(*[side[c].alias(c) for c in data]))
+
+    after = F.when(stays, row(was)).otherwise(row(now))
+    return found.select(*keys, row(was).alias("before"), after.alias("after"))
 
 
 def upsert_versions(

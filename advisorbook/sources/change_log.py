@@ -29,12 +29,17 @@ def partition_is(column: str, values: Sequence) -> Column:
 
 
 def _apply(spark: SparkSession, step) -> None:
-    """Make the touched partitions equal to the staged rows; those without rows are dropped."""
+    """Make the touched partitions equal to the staged rows; those without rows are dropped.
+
+    The staged files may hold further columns, and rows of partitions that did not change.
+    """
     rows = spark.read.schema(StructType.fromDDL(step["fields"])).parquet(step["path"])
     name, column = step["name"], step["partition"]
-    present = {None if r[0] is None else str(r[0]) for r in rows.select(column).distinct().collect()}
+    held = [r[0] for r in rows.select(column).distinct().collect()]
+    here = [v for v in held if (None if v is None else str(v)) in step["touched"]]
+    present = {None if v is None else str(v) for v in here}
     if present:
-        replace_partitions(rows, name)
+        replace_partitions(rows if len(here) == len(held) else rows.filter(partition_is(column, here)), name)
     for value in step["touched"]:
         if value not in present:
             told = "null" if value is None else f"'{value}'"
@@ -85,11 +90,21 @@ class StagedChange:
         """Write the new rows of the ``touched`` partitions of a table; returns them as written."""
         if not touched:
             return rows.limit(0)
+        path, written = self.write(rows)
+        self.stage_written(path, rows.schema, name, partition, touched)
+        return written
+
+    def write(self, rows: DataFrame, by: Sequence[str] = ()) -> tuple[str, DataFrame]:
+        """Write rows that ``stage_written`` may stage later; returns their path, and the rows as written."""
         path = work_path(self.spark, "staged")
-        rows.write.parquet(path)
-        told = [v.isoformat() if isinstance(v, dt.date) else None if v is None else str(v) for v in touched]
-        self.steps.append((name, path, rows.schema.toDDL(), partition, told))
-        return self.spark.read.schema(rows.schema).parquet(path)
+        rows.write.partitionBy(*by).option("compression", "zstd").parquet(path)
+        return path, self.spark.read.schema(rows.schema).parquet(path)
+
+    def stage_written(self, path: str, schema: StructType, name: str, partition: str, touched: Sequence) -> None:
+        """Stage the columns of ``schema`` and the ``touched`` partitions of rows that are written already."""
+        if touched:
+            told = [v.isoformat() if isinstance(v, dt.date) else None if v is None else str(v) for v in touched]
+            self.steps.append((name, path, schema.toDDL(), partition, told))
 
     def commit(self, noted: Sequence[str] = ()) -> None:
         """From the log entry on the change counts, whatever fails; then the partitions are swapped."""

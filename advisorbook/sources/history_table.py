@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from advisorbook.operators.drift import align
-from advisorbook.operators.latest import latest_per_key
 from advisorbook.session import cut_lineage
 from advisorbook.sources.change_log import StagedChange, partition_is
 from advisorbook.sources.tables import add_new_columns, as_stored, create_partitioned, read_table, table_schema
 
 INSERT, UPDATE, SAME = "insert", "update", "same"
+_KIND = "_kind"
 
 
 class HistoryTable:
@@ -36,27 +36,34 @@ class HistoryTable:
         Rows of one key and version in the source are settled by ``tiebreak``, then by the other columns.
         """
         spark, name, key = self.spark, self.name, [self.version, *self.keys]
-        if not spark.catalog.tableExists(name):
+        known = spark.catalog.tableExists(name)
+        if not known:
             create_partitioned(spark, name, source.schema, self.version)
         source = as_stored(source, name)
         add_new_columns(spark, name, source.schema)
         schema: StructType = table_schema(spark, name)
-        arrived = cut_lineage(latest_per_key(align(source, schema), key, self.tiebreak), "history-source")
-        met = [r[0] for r in arrived.select(self.version).distinct().collect()]  # one per date
-        target = spark.table(name).filter(partition_is(self.version, met))
+        arrived, target = align(source, schema), spark.table(name)
+        if known:
+            arrived = cut_lineage(arrived, "history-source")
+            met = [r[0] for r in arrived.select(self.version).distinct().collect()]  # one per date
+            target = target.filter(partition_is(self.version, met))
         data = [c for c in schema.names if c not in key]
+        leading = [c for c in self.tiebreak if c not in key]
+        ordered = leading + [c for c in data if c not in leading]
         both = target.withColumn("_incoming", F.lit(0)).unionByName(arrived.withColumn("_incoming", F.lit(1)))
 
         def side(incoming: int, what: str):
-            return F.max(F.when(F.col("_incoming") == incoming, F.struct(F.lit(1).alias("_"), *[F.col(f"`{c}`") for c in data]))).alias(what)
+            return F.max(F.when(F.col("_incoming") == incoming, F.struct(F.lit(1).alias("_"), *[F.col(f"`{c}`") for c in ordered]))).alias(what)
 
         merged = both.groupBy(*key).agg(side(0, "was"), side(1, "now"))
         kind = F.when(F.col("was").isNull(), INSERT).when(F.col("now").isNull() | F.col("was").eqNullSafe(F.col("now")), SAME)
-        merged = cut_lineage(merged.withColumn("kind", kind.otherwise(UPDATE)), "history-merged")
-        counts = cut_lineage(merged.groupBy(self.version, "kind").agg(F.count(F.lit(1)).alias("n")), "history-counts")
-        touched = [r[0] for r in counts.filter(F.col("kind") != SAME).select(self.version).distinct().collect()]
         row = F.coalesce("now", "was")
-        kept = merged.filter(partition_is(self.version, touched))
         columns = [F.col(f"`{c}`") if c in key else row[c].alias(c) for c in schema.names]
-        change.stage(kept.select(*columns), name, self.version, touched)
+        # Written once: the counts read their two columns of it, the commit the table's own ones.
+        path, written = change.write(merged.select(*columns, kind.otherwise(UPDATE).alias(_KIND)))
+        counts = written.groupBy(self.version, F.col(_KIND).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+        counts = cut_lineage(counts, "history-counts")
+        touched = [r[0] for r in counts.filter(F.col("kind") != SAME).select(self.version).distinct().collect()]
+        stored = StructType([f for f in written.schema if f.name != _KIND])
+        change.stage_written(path, stored, name, self.version, touched)
         return counts

@@ -8,13 +8,13 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from advisorbook.operators.drift import align
 from advisorbook.operators.incremental import version_changes
-from advisorbook.operators.latest import latest_per_key
 from advisorbook.session import cut_lineage
 from advisorbook.sources.change_log import StagedChange, partition_is
 from advisorbook.sources.tables import add_new_columns, as_stored, create_partitioned, read_table, table_schema
 
 BUCKET = "_bucket"
 BUCKETS = 64
+_CHANGED, _BEFORE = "_changed", "_before"
 _PROPERTY = "advisorbook.buckets"
 
 
@@ -58,20 +58,29 @@ class LatestTable:
         ``before`` is NULL for a new key. New columns of the source are added to the table at once;
         columns it lacks are NULL in its rows. The table changes when ``change`` is committed.
         """
-        if not self.spark.catalog.tableExists(self.name):
+        spark, known = self.spark, self.spark.catalog.tableExists(self.name)
+        if not known:
             self._create(source.schema)
         source = as_stored(source, self.name)
-        add_new_columns(self.spark, self.name, source.schema)
-        schema = StructType([f for f in table_schema(self.spark, self.name) if f.name != BUCKET])
-        newest = latest_per_key(align(source, schema), self.keys, [self.version, *self.tiebreak])
-        newest = cut_lineage(newest.withColumn(BUCKET, self._bucket()), "latest-source")
-        met = [r[0] for r in newest.select(BUCKET).distinct().collect()]  # at most the buckets
-        target = self.spark.table(self.name).filter(partition_is(BUCKET, met))
-        merged = version_changes(target, newest, [BUCKET, *self.keys], self.version, self.tiebreak)
-        merged = cut_lineage(merged, "latest-merged")
-        changes = merged.filter(~F.col("before").eqNullSafe(F.col("after")))
+        add_new_columns(spark, self.name, source.schema)
+        schema = StructType([f for f in table_schema(spark, self.name) if f.name != BUCKET])
+        incoming, target = align(source, schema).withColumn(BUCKET, self._bucket()), spark.table(self.name)
+        if known:
+            incoming = cut_lineage(incoming, "latest-source")
+            met = [r[0] for r in incoming.select(BUCKET).distinct().collect()]  # at most the buckets
+            target = target.filter(partition_is(BUCKET, met))
+        merged = version_changes(target, incoming, [BUCKET, *self.keys], self.version, self.tiebreak)
+        data = [c for c in schema.names if c not in self.keys]
+        flat = merged.select(
+            *[F.col(f"`{c}`") if c in self.keys else F.col("after")[c].alias(c) for c in schema.names], BUCKET,
+            (~F.col("before").eqNullSafe(F.col("after"))).alias(_CHANGED),
+            F.when(~F.col("before").eqNullSafe(F.col("after")), F.col("before")).alias(_BEFORE),
+        )
+        # Written once: the changes read it, and the commit reads the table's own columns of it.
+        path, written = change.write(flat)
+        changes = written.filter(_CHANGED)
         touched = [r[0] for r in changes.select(BUCKET).distinct().collect()]
-        others = [F.col(f"`{c}`") if c in self.keys else F.col("after")[c].alias(c) for c in schema.names]
-        kept = merged.filter(partition_is(BUCKET, touched)).select(*others, BUCKET)
-        change.stage(kept, self.name, BUCKET, touched)
-        return changes.drop(BUCKET)
+        stored = StructType([f for f in written.schema if f.name not in (_CHANGED, _BEFORE)])
+        change.stage_written(path, stored, self.name, BUCKET, touched)
+        after = F.struct(*[F.col(f"`{c}`") for c in data]).alias("after")
+        return changes.select(*[F.col(f"`{c}`") for c in self.keys], F.col(_BEFORE).alias("before"), after)

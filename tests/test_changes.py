@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import uuid
 from pathlib import Path
 
 import pytest
@@ -14,7 +15,7 @@ from advisorbook.plans.kpis import monthly_kpis, since_month
 from advisorbook.plans.performance import performance_rows
 from advisorbook.plans.staging import KPI_INPUTS, TIEBREAK, stage_portfolio
 from advisorbook.session import cut_lineage, work_path
-from advisorbook.sources import change_log
+from advisorbook.sources import change_log, history_table, latest_table
 from advisorbook.sources.change_log import StagedChange, recover
 from advisorbook.sources.history_table import HistoryTable
 from advisorbook.sources.latest_table import LatestTable
@@ -288,3 +289,35 @@ def test_months_without_a_change_are_left_and_emptied_months_go(spark, database)
     step([], moved, spark.createDataFrame([(1,)], "product_id LONG"))
     got = spark.table(f"{database}.fact").select("month_start_date", "aum_fixed_income", "aum_equity_campuran")
     assert [(r[0].month, r[1], r[2]) for r in got.orderBy("month_start_date").collect()] == [(1, 100.0, 0.0), (3, 100.0, 0.0)]
+
+
+def test_merges_write_each_row_once_before_the_commit(spark, monkeypatch):
+    """A first load writes only the staged rows; a second one also the rows that arrive. Repeated and NULL keys are settled as before."""
+    written = []
+    for module in (latest_table, history_table):
+        kept = module.cut_lineage
+        monkeypatch.setattr(module, "cut_lineage", lambda df, name, kept=kept: written.append(name) or kept(df, name))
+    database = "merged_" + uuid.uuid4().hex
+    create_database(spark, database, f"{work_path(spark, database)}/tables")
+    first = [(1, 1, 5, "a"), (1, 1, 6, "b"), (1, 2, 1, "c"), (None, 1, 1, "d"), (2, None, 1, "e"), (3, 2, 1, "f")]
+    second = [(1, 1, 9, "g"), (2, 1, 1, "h"), (2, 1, 2, "i"), (3, None, 1, "j"), (None, 1, 0, "k"), (4, None, None, None)]
+    for rows in (first, second):
+        frame = spark.createDataFrame(rows, "id long, version int, rank int, kind string")
+        for table in (
+            latest_table.LatestTable(spark, f"{database}.latest", ["id"], "version", ["rank"], buckets=3),
+            history_table.HistoryTable(spark, f"{database}.history", ["id", "version"], "version", ["rank"]),
+        ):
+            change = StagedChange(spark, f"{database}.log")
+            told = table.merge(frame, change)
+            if isinstance(table, latest_table.LatestTable):
+                changes = {r["id"]: (r["before"] and r["before"]["kind"], r["after"]["kind"]) for r in told.collect()}
+            else:
+                counts = {(r[0], r[1]): r[2] for r in told.collect()}
+            change.commit()
+    assert written == ["history-counts", "latest-source", "history-source", "history-counts"]
+    assert changes == {2: ("e", "i"), None: ("d", "k"), 4: (None, None)}
+    assert counts == {(1, "update"): 2, (1, "insert"): 1, (2, "same"): 2, (None, "insert"): 2, (None, "same"): 1}
+    latest = {tuple(r) for r in spark.table(f"{database}.latest").drop("_bucket").select("id", "version", "rank", "kind").collect()}
+    assert latest == {(1, 2, 1, "c"), (None, 1, 0, "k"), (2, 1, 2, "i"), (3, 2, 1, "f"), (4, None, None, None)}
+    history = {tuple(r) for r in spark.table(f"{database}.history").select("id", "version", "rank", "kind").collect()}
+    assert history == {(1, 1, 9, "g"), (1, 2, 1, "c"), (None, 1, 0, "k"), (2, None, 1, "e"), (3, 2, 1, "f"), (2, 1, 2, "i"), (3, None, 1, "j"), (4, None, None, None)}
