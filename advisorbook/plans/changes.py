@@ -79,8 +79,11 @@ class MaintainedFact:
         moved = both.select(F.inline(sides)).filter(F.col("e").isNotNull()).select("rank", "e.*")
         return cut_lineage(moved, "moved-entries")
 
-    def _merge_entries(self, moved: DataFrame, months: list) -> DataFrame:
-        """Each id of the months: the stored entry, and (``top``) what stands there now, of rank 1 when taken out."""
+    def _merge_entries(self, moved: DataFrame, months: list, change: StagedChange) -> DataFrame:
+        """Stage the entries of the months; returns each id's entry as it is now, what was stored and flags.
+
+        ``_gone``: the entry is taken out. ``_same``: the stored entry stays, and is not told again in ``_was``.
+        """
         schema = StructType([f for f in moved.schema if f.name != "rank"])
         stored = self._months(self.entries, schema, months).withColumn("rank", F.lit(0))
         columns = [c for c in schema.names if c not in (MONTH, "portfolio_id")]
@@ -88,11 +91,24 @@ class MaintainedFact:
             F.max(F.when(F.col("rank") == 0, F.struct(*columns))).alias("was"),
             F.max(F.struct("rank", *columns)).alias("top"),
         )
-        return cut_lineage(each, "merged-entries")
+        gone = F.col("top.rank") == 1
+        now = [F.col("top")[c].alias(c) for c in columns]
+        each = each.withColumn("_same", ~gone & F.col("was").eqNullSafe(F.struct(*now)))
+        flat = each.select(MONTH, "portfolio_id", *now, F.when(~F.col("_same"), F.col("was")).alias("_was"), "_same", gone.alias("_gone"))
+        path, merged = change.write(flat)
+        # Without entries taken out the files hold just the table's rows, and are not written again.
+        if merged.filter("_gone").isEmpty():
+            change.stage_written(path, StructType([merged.schema[c] for c in schema.names]), self.entries, MONTH, months)
+        else:
+            change.stage(merged.filter("NOT _gone").select(*schema.names), self.entries, MONTH, months)
+        return merged
 
     def _differences(self, merged: DataFrame) -> DataFrame:
         """Per position whose month-end entry moved: the change in money and in positions."""
-        was, now = F.col("was"), F.when(F.col("top.rank") != 1, F.col("top"))
+        values = ("agent_id", "customer_id", "product_id", "portfolio_date", "ending_balance")
+        here = F.struct(*values)
+        was, now = F.when(F.col("_same"), here).otherwise(F.struct(*[F.col("_was")[c].alias(c) for c in values])), F.when(~F.col("_gone"), here)
+        was = F.when(F.col("_same") | F.col("_was").isNotNull(), was)
         names = ("agent_id", "customer_id", "product_id", "portfolio_date", "ending_balance")
 
         def side(number: int, row: Column) -> Column:
@@ -129,10 +145,7 @@ class MaintainedFact:
             again += [r[0] for r in held.select(MONTH).distinct().collect() if r[0] not in months]
         if not again:
             return [], None
-        merged = self._merge_entries(moved, months)
-        now = merged.filter("top.rank != 1").select(MONTH, "portfolio_id", "top.*").drop("rank")
-        change.stage(now.select(*[c for c in moved.columns if c != "rank"]), self.entries, MONTH, months)
-
+        merged = self._merge_entries(moved, months, change)
         moves = position_totals(self._differences(merged), F.sum("aum"), F.sum("positions"))
         moves = moves.select(*_TOTAL, F.col("aum").cast(DecimalType(38, self.money.scale)), "positions")
         stored = self._months(self.totals, moves.schema, months)
