@@ -10,14 +10,19 @@ from pyspark.sql.types import BooleanType, DataType, DoubleType, LongType, Strin
 _LONG, _DOUBLE, _BOOLEAN, _TEXT = 1, 2, 4, 8
 
 
+# Every text that casts to BIGINT or DOUBLE is of these forms; a cast that fails raises inside, which costs far more.
+_LIKE_LONG = r"^[\x00-\x20\x7F]*[+-]?[0-9]+[\x00-\x20\x7F]*$"
+_LIKE_DOUBLE = r"^[\x00-\x20\x7F]*[+-]?(?:[0-9.][0-9a-fA-FxXpP+.-]*|(?i:nan|inf|infinity))[\x00-\x20\x7F]*$"
+
+
 def kinds_of(text: Column) -> Column:
     """Aggregate: the kinds of values of a text column; NULL where it has none.
 
     States of files, tasks and loads unite by OR, so one pass over all of them is enough.
     """
     kind = (
-        F.when(text.try_cast("bigint").isNotNull(), _LONG)
-        .when(text.try_cast("double").isNotNull(), _DOUBLE)
+        F.when(text.rlike(_LIKE_LONG) & text.try_cast("bigint").isNotNull(), _LONG)
+        .when(text.rlike(_LIKE_DOUBLE) & text.try_cast("double").isNotNull(), _DOUBLE)
         .when(F.lower(text).isin("true", "false"), _BOOLEAN)
         .otherwise(_TEXT)
     )

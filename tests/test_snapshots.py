@@ -4,10 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType
 
-from advisorbook.operators.drift import align, union_with_drift
+from advisorbook.operators.drift import align, kinds_of, union_with_drift
 from advisorbook.plans.ingest import load_master, load_metrics, load_new_dates, rebuild_history
 from advisorbook.sources.snapshots import (
     FROM_FOLDER,
+    first_lines,
     infer_types,
     list_snapshots,
     read_master,
@@ -22,6 +23,7 @@ from advisorbook.sources.tables import (
     read_table,
     replace_counted,
     replace_table,
+    setting,
     table_schema,
 )
 from tests.frames import day, rows_of
@@ -394,3 +396,30 @@ def test_union_and_align(spark):
 def test_metrics_without_files(spark):
     df = spark.createDataFrame([(day("2026-01-10"),)] * 2, "snapshot_date date")
     assert rows_of(load_metrics(df)) == [(day("2026-01-10"), 2)]
+
+
+def test_kinds_of_text_try_no_cast_that_must_fail(spark):
+    """The same kinds as the casts alone give, on odd forms, and each cast guarded by the form it needs."""
+    odd = ["1", " 1 ", "+1", "-", "+", "", ".", "1.", ".5", "1e5", "1E-5", "1e", "1d", "1F", "0x1p3", "0x1", "NaN", "nan", "-inf", "+Infinity", "infin",
+           "1-2", "1\u007f", "\u007f1.5", "\u00a01", "9223372036854775807", "9223372036854775808", "1_0", "١", "true", "FALSE", "A", "12A", "\n7\t", "1.5 x", "1\n"]
+    rows = spark.createDataFrame([(t,) for t in odd], "t string").repartition(4)
+    text = F.col("t")
+    plain = (
+        F.when(text.try_cast("bigint").isNotNull(), 1).when(text.try_cast("double").isNotNull(), 2)
+        .when(F.lower(text).isin("true", "false"), 3).otherwise(4)
+    )
+    found = rows.groupBy("t").agg(kinds_of(text).alias("k"), F.first(plain).alias("p")).collect()
+    kinds = {p: {r["k"] for r in found if r["p"] == p} for p in (1, 2, 3, 4)}
+    assert all(len(k) == 1 for k in kinds.values()) and len(set.union(*kinds.values())) == 4
+    told = rows.agg(kinds_of(text))._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" in told
+
+
+def test_first_lines_leave_python_and_dates_come_from_the_listing(spark, tmp_path):
+    """Files of several splits, an empty one and one that opens with a blank line."""
+    long = "a,b\n" + "".join(f"{k},{k}\n" for k in range(5000))
+    for name, body in {"x_2026-01-01.csv": long, "x_2026-01-02.csv": "", "x_2026-01-03.csv": "\na\n", "x_2026-01-04.csv": "c"}.items():
+        (tmp_path / name).write_text(body)
+    with setting(spark, "spark.sql.files.maxPartitionBytes", "4096"):
+        found = first_lines(spark, [str(p) for p in sorted(tmp_path.glob("*.csv"))])
+    assert sorted((r["uri"][-14:-4], r["line"]) for r in found.collect()) == [("2026-01-01", "a,b"), ("2026-01-03", ""), ("2026-01-04", "c")]
