@@ -76,8 +76,7 @@ class MaintainedFact:
         both = feed.select(entry("before").alias("old"), entry("after").alias("new"))
         both = both.filter(~F.col("old").eqNullSafe(F.col("new")))
         sides = F.array(F.struct(F.lit(1).alias("rank"), F.col("old").alias("e")), F.struct(F.lit(2).alias("rank"), F.col("new").alias("e")))
-        moved = both.select(F.inline(sides)).filter(F.col("e").isNotNull()).select("rank", "e.*")
-        return cut_lineage(moved, "moved-entries")
+        return both.select(F.inline(sides)).filter(F.col("e").isNotNull()).select("rank", "e.*")
 
     def _merge_entries(self, moved: DataFrame, months: list, change: StagedChange) -> DataFrame:
         """Stage the entries of the months; returns each id's entry as it is now, what was stored and flags.
@@ -134,6 +133,7 @@ class MaintainedFact:
     ) -> tuple[list, DataFrame | None]:
         """Stage what a feed of changed raw rows (id, before, after) does to the three tables.
 
+        The feed is read twice; it should be stored, as ``LatestTable.merge`` returns it.
         ``reclassified`` names products (``product_id``) whose bucket is another than at the last change.
         Returns the months of the fact that are replaced, and their new rows.
         """
@@ -146,17 +146,18 @@ class MaintainedFact:
         if not again:
             return [], None
         merged = self._merge_entries(moved, months, change)
-        moves = position_totals(self._differences(merged), F.sum("aum"), F.sum("positions"))
-        moves = moves.select(*_TOTAL, F.col("aum").cast(DecimalType(38, self.money.scale)), "positions")
-        stored = self._months(self.totals, moves.schema, months)
-        summed = stored.unionByName(moves).groupBy(*_TOTAL).agg(
-            F.sum("aum").cast(DecimalType(38, self.money.scale)).alias("aum"), F.sum("positions").alias("positions")
-        )
+        differences, sums = self._differences(merged), (F.sum("aum"), F.sum("positions"))
+
+        def told(rows: DataFrame) -> DataFrame:
+            return rows.select(*_TOTAL, F.col("aum").cast(DecimalType(38, self.money.scale)), "positions")
+
+        stored = self._months(self.totals, told(position_totals(differences, *sums)).schema, months)
+        summed = told(position_totals(differences, *sums, known=stored))
         totals = change.stage(summed.filter("positions != 0"), self.totals, MONTH, months)
         unmoved = [m for m in again if m not in months]
         if unmoved:
             totals = totals.unionByName(self._months(self.totals, totals.schema, unmoved))
-        facts = kpis_of_totals(totals, products, self.threshold, self.stamp)
+        facts = kpis_of_totals(totals, products, self.threshold, self.stamp, stored=True)
         self._months(self.fact, facts.schema, again)
         return again, change.stage(facts, self.fact, MONTH, again)
 

@@ -90,8 +90,22 @@ def monthly_kpis(
     return kpis_of_totals(totals, products, threshold, stamp)
 
 
-def position_totals(positions: DataFrame, aum: Column, count: Column) -> DataFrame:
-    """Money and positions once per customer and once per product of each agent and month."""
+def position_totals(positions: DataFrame, aum: Column, count: Column, known: DataFrame | None = None) -> DataFrame:
+    """Money and positions once per customer and once per product of each agent and month.
+
+    ``known`` holds such totals, to which the positions' are added in the same shuffle.
+    """
+    if known is not None:
+        whose = ("customer_id", "product_id")
+
+        def side(flag: int) -> Column:
+            kept = [F.when(F.lit(k == flag), F.col(c)).alias(c) for k, c in enumerate(whose)]
+            return F.struct(*kept, F.lit(flag).cast("byte").alias("is_product_total"))
+
+        rest = [c for c in positions.columns if c not in whose]
+        each = positions.select(*rest, F.inline(F.array(side(0), side(1)))).unionByName(known)
+        keys = ("agent_id", "month_start_date", *whose, "is_product_total")
+        return each.groupBy(*keys).agg(aum.alias("aum"), count.alias("positions"))
     return positions.groupingSets(
         [
             ["agent_id", "month_start_date", "customer_id"],
@@ -113,17 +127,25 @@ def kpis_of_totals(
     products: DataFrame,
     threshold: int = fv.CORE_CUSTOMER_THRESHOLD,
     stamp: Column | None = None,
+    stored: bool = False,
 ) -> DataFrame:
-    """The fact's rows from the totals per customer and per product."""
+    """The fact's rows from the totals per customer and per product.
+
+    With ``stored`` totals, which are read twice then, only those per product travel to the lookup.
+    """
     buckets = products.select(
         F.col("product_id").alias("_product_id"), F.col("asset_class_bucket").alias("bucket")
     )
     per_product = F.col("is_product_total") == 1
     # Customer totals have no product. Joined on NULL they would meet in one task, so they
     # take a spread key and the condition keeps them unmatched.
-    anywhere = F.hash("customer_id").cast(totals.schema["product_id"].dataType)
-    key = F.when(per_product, F.col("product_id")).otherwise(anywhere)
-    classified = totals.join(buckets, (key == F.col("_product_id")) & per_product, "left")
+    if stored:
+        found = totals.filter(per_product).join(buckets, F.col("product_id") == F.col("_product_id"), "left")
+        classified = found.unionByName(totals.filter(~per_product), allowMissingColumns=True)
+    else:
+        anywhere = F.hash("customer_id").cast(totals.schema["product_id"].dataType)
+        key = F.when(per_product, F.col("product_id")).otherwise(anywhere)
+        classified = totals.join(buckets, (key == F.col("_product_id")) & per_product, "left")
 
     # An agent without id gets no customer counts: NULL never equals NULL.
     counted = ~per_product & F.col("agent_id").isNotNull()

@@ -2,10 +2,13 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 # Settings the plans are written for. All but the last two are Spark's defaults.
 SETTINGS = {
@@ -39,6 +42,26 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/advisorbook/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for one write: ``insertInto`` takes no such option of its own."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def shuffles_go(spark: SparkSession):
+    """Writes in this block leave no shuffle files: nothing reads them again once the rows are written.
+
+    Else they stay on the executors' disks until the driver collects its garbage, which may be never in a
+    long run of writes. A Spark without the setting (before 4.1) keeps them that long.
+    """
+    return setting(spark, SHUFFLE_CLEANUP, "true")
+
+
 def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -46,5 +69,6 @@ def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     not a recomputation, and every branch sees the same rows.
     """
     path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_go(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from advisorbook.session import work_path
+from advisorbook.session import shuffles_go, work_path
 from advisorbook.sources.tables import replace_partitions
 
 READY, DONE = "ready", "done"
@@ -97,7 +97,8 @@ class StagedChange:
     def write(self, rows: DataFrame, by: Sequence[str] = ()) -> tuple[str, DataFrame]:
         """Write rows that ``stage_written`` may stage later; returns their path, and the rows as written."""
         path = work_path(self.spark, "staged")
-        rows.write.partitionBy(*by).option("compression", "zstd").parquet(path)
+        with shuffles_go(self.spark):
+            rows.write.partitionBy(*by).option("compression", "zstd").parquet(path)
         return path, self.spark.read.schema(rows.schema).parquet(path)
 
     def stage_written(self, path: str, schema: StructType, name: str, partition: str, touched: Sequence) -> None:

@@ -20,8 +20,8 @@ from advisorbook.contracts import INGESTED_AT, SNAPSHOT_DATE
 from advisorbook.functions.dates import date_from_name
 from advisorbook.functions.text import null_tokens, strip
 from advisorbook.operators.drift import kinds_of, type_of_kinds, union_with_drift, widened
-from advisorbook.session import cut_lineage
-from advisorbook.sources.tables import UNTYPED, setting
+from advisorbook.session import cut_lineage, setting
+from advisorbook.sources.tables import UNTYPED
 
 log = logging.getLogger(__name__)
 

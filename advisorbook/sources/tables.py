@@ -1,7 +1,6 @@
 """Catalog tables: create, replace, append with drift, keyed merge."""
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -9,7 +8,7 @@ from pyspark.sql.types import BooleanType, DataType, DoubleType, LongType, Strin
 
 from advisorbook.operators.drift import align, check_types, new_columns
 from advisorbook.operators.incremental import upsert
-from advisorbook.session import cut_lineage
+from advisorbook.session import cut_lineage, setting, shuffles_go
 
 
 # Comment of a stored column that has had no value yet, so any type may still come.
@@ -122,17 +121,6 @@ def append_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) ->
     align(df, table_schema(spark, table)).write.insertInto(table)
 
 
-@contextmanager
-def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    """A session setting for one write: ``insertInto`` takes no such option of its own."""
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-
-
 def replace_partitions(df: DataFrame, table: str) -> None:
     """Overwrite the partitions that occur in ``df`` and leave the others.
 
@@ -143,7 +131,7 @@ def replace_partitions(df: DataFrame, table: str) -> None:
     schema = table_schema(spark, table)
     by = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     aligned = align(df, schema).hint("rebalance", *by)
-    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"), shuffles_go(spark):
         aligned.write.insertInto(table, overwrite=True)
 
 

@@ -419,8 +419,10 @@ def maintained_monthly_kpis(spark: SparkSession, d: str) -> DataFrame:
 def maintained_monthly_performance(spark: SparkSession, d: str) -> DataFrame:
     """The report after a first load and a year that arrives late."""
     late = F.year("snapshot_date") == 1998
-    rows = spark.table(f"{_maintain(spark, d, [~late, late])}.report")
-    return with_agent_names(rows, _agents(spark, d, _entries(spark, d)))
+    database = _maintain(spark, d, [~late, late])
+    newest = LatestTable(spark, f"{database}.latest", ["id"], "ingested_at", TIEBREAK).rows()
+    agents = cut_lineage(_agents(spark, d, stage_portfolio(newest, KPI_INPUTS)), "agents")
+    return with_agent_names(spark.table(f"{database}.report"), agents)
 
 
 def _two_runs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:

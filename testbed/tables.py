@@ -81,11 +81,11 @@ def history(spark: SparkSession, sf_dir: str, entry_date: str = "l_shipdate") ->
     fund_of_part = parts.join(fund_ids, parts["p_name"] == fund_ids["name"]).select(
         "p_partkey", "p_retailprice", "product_id"
     )
-    # Orders meet their customers first, so that the line items are shuffled for two joins only.
+    # Orders meet their customers first, so that the line items are shuffled for two joins only, and the
+    # line items their parts, of which fewer columns travel on than of orders.
     served = orders.join(customers, orders["o_custkey"] == customers["c_custkey"])
-    joined = lines.join(served, lines["l_orderkey"] == served["o_orderkey"]).join(
-        fund_of_part, F.col("l_partkey") == F.col("p_partkey")
-    )
+    funded = lines.join(fund_of_part, lines["l_partkey"] == fund_of_part["p_partkey"])
+    joined = funded.join(served, F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select(
         entry_id().alias("id"),
         F.col("c_nationkey").cast("bigint").alias("agent_id"),

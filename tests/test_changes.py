@@ -2,7 +2,9 @@
 
 import datetime as dt
 import random
+import time
 import uuid
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
@@ -10,16 +12,17 @@ from pyspark.sql import functions as F
 
 from advisorbook.operators.latest import latest_per_key
 from advisorbook.operators.reconcile import rerun_drift, rerun_drift_by_period
+from advisorbook.plans import changes
 from advisorbook.plans.changes import MaintainedFact, MaintainedReport
-from advisorbook.plans.kpis import monthly_kpis, since_month
+from advisorbook.plans.kpis import kpis_of_totals, monthly_kpis, position_totals, since_month
 from advisorbook.plans.performance import performance_rows
 from advisorbook.plans.staging import KPI_INPUTS, TIEBREAK, stage_portfolio
-from advisorbook.session import cut_lineage, work_path
+from advisorbook.session import SHUFFLE_CLEANUP, cut_lineage, work_path
 from advisorbook.sources import change_log, history_table, latest_table
 from advisorbook.sources.change_log import StagedChange, recover
 from advisorbook.sources.history_table import HistoryTable
 from advisorbook.sources.latest_table import LatestTable
-from advisorbook.sources.tables import create_database, merge_table, replace_table
+from advisorbook.sources.tables import create_database, create_partitioned, merge_table, replace_partitions, replace_table
 from advisorbook.sources.zones import ZoneTable
 from tests.frames import products, raw, rows_of
 
@@ -321,3 +324,59 @@ def test_merges_write_each_row_once_before_the_commit(spark, monkeypatch):
     assert latest == {(1, 2, 1, "c"), (None, 1, 0, "k"), (2, 1, 2, "i"), (3, 2, 1, "f"), (4, None, None, None)}
     history = {tuple(r) for r in spark.table(f"{database}.history").select("id", "version", "rank", "kind").collect()}
     assert history == {(1, 1, 9, "g"), (1, 2, 1, "c"), (None, 1, 0, "k"), (2, None, 1, "e"), (3, 2, 1, "f"), (2, 1, 2, "i"), (3, None, 1, "j"), (4, None, None, None)}
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f.name for folder in folders for f in Path(folder.getPath()).rglob("shuffle_*.data")}
+
+
+def test_writes_leave_no_shuffle_files(spark, database):
+    summed = spark.range(1000).groupBy("id").agg(F.max(F.col("id") % 3).alias("part"))
+    create_partitioned(spark, f"{database}.kept", summed.schema, "part")
+    before, setting = shuffle_files(spark), spark.conf.get(SHUFFLE_CLEANUP, None)
+    written = cut_lineage(summed, "kept")
+    _, staged = StagedChange(spark, f"{database}.log").write(summed)
+    replace_partitions(summed, f"{database}.kept")
+    until = time.time() + 20  # executors are told, and not waited for
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert shuffle_files(spark) - before == set()
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+    assert rows_of(written) == rows_of(staged) == rows_of(spark.table(f"{database}.kept").select("id", "part")) == rows_of(summed)
+
+
+def exchanges(frame):
+    return frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_totals_are_added_in_one_shuffle_and_customers_stay_out_of_the_lookup(spark):
+    columns = "month_start_date date, agent_id long, customer_id long, product_id long, aum decimal(28,8), positions long"
+    first, rng = [], random.Random(6)
+    for _ in range(60):
+        ids = (rng.choice([1, 2, None]), rng.choice([10, 11, None]), rng.choice([1, 3, 99, None]))
+        first.append((rng.choice([day(1), None]), *ids, Decimal(rng.randint(-3, 9)), rng.choice([1, 1, -1])))
+    sums = (F.sum("aum"), F.sum("positions"))
+    old, new = spark.createDataFrame(first[:40], columns), spark.createDataFrame(first[40:], columns)
+    known = cut_lineage(position_totals(old, *sums), "known")
+    added = position_totals(new, *sums, known=known)
+    whole = position_totals(old.unionByName(new), *sums)
+    names = ("agent_id", "month_start_date", "customer_id", "product_id", "aum", "positions", "is_product_total")
+    assert rows_of(added, *names) == rows_of(whole, *names) and exchanges(added) == 1
+    totals, listed = cut_lineage(added, "totals"), cut_lineage(products(spark), "listed")
+    assert rows_of(kpis_of_totals(totals, listed, stored=True)) == rows_of(kpis_of_totals(whole, listed))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = kpis_of_totals(totals, listed, stored=True)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange hashpartitioning(product_id" in plan and "hash(customer_id" not in plan
+
+
+def test_moved_entries_are_not_written_again(spark, database, monkeypatch):
+    written, kept = [], changes.cut_lineage
+    monkeypatch.setattr(changes, "cut_lineage", lambda df, name: written.append(name) or kept(df, name))
+    change = StagedChange(spark, f"{database}.log")
+    feed = LatestTable(spark, f"{database}.latest", ["id"], "ingested_at", TIEBREAK, buckets=4).merge(raw(spark, {"id": 1}), change)
+    MaintainedFact(spark, f"{database}.entries", f"{database}.totals", f"{database}.fact").apply(feed, products(spark), change)
+    assert written == []
