@@ -421,8 +421,8 @@ def maintained_monthly_performance(spark: SparkSession, d: str) -> DataFrame:
     late = F.year("snapshot_date") == 1998
     database = _maintain(spark, d, [~late, late])
     newest = LatestTable(spark, f"{database}.latest", ["id"], "ingested_at", TIEBREAK).rows()
-    agents = cut_lineage(_agents(spark, d, stage_portfolio(newest, KPI_INPUTS)), "agents")
-    return with_agent_names(spark.table(f"{database}.report"), agents)
+    agents = _agents(spark, d, stage_portfolio(newest, KPI_INPUTS)).select("agent_id", "agent_name")
+    return with_agent_names(spark.table(f"{database}.report"), cut_lineage(agents, "agents"))
 
 
 def _two_runs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
